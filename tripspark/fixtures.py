@@ -135,7 +135,7 @@ def raw_path(spark: SparkSession, sf_dir: str) -> str:
 
     path = f"{fixture_dir(spark, sf_dir)}/raw"
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        land(trip_view(spark, sf_dir), path)
+        land(trip_view(spark, sf_dir), path, dynamic=False)
     return path
 
 

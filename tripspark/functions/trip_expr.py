@@ -49,8 +49,11 @@ def flag(name: str) -> Column:
 
 def day_name(t: Column) -> Column:
     """English day name, 'Unknown' when the timestamp is NULL."""
-    names = F.array(*[F.lit(n) for n in DAY_NAMES])
-    return F.coalesce(F.element_at(names, F.dayofweek(t)), F.lit(UNKNOWN_DAY))
+    dow = F.dayofweek(t)
+    out = F.when(dow == 1, F.lit(DAY_NAMES[0]))
+    for i, name in enumerate(DAY_NAMES[1:], start=2):
+        out = out.when(dow == i, F.lit(name))
+    return out.otherwise(F.lit(UNKNOWN_DAY))
 
 
 def weekend(t: Column) -> Column:

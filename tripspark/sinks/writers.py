@@ -53,13 +53,15 @@ def write_daily_service(df: DataFrame, path: str, dynamic: bool = False) -> None
     write_partitioned(df, path, SERVICE_PARTITIONS, dynamic=dynamic)
 
 
-def land(raw: DataFrame, path: str, mode: str = "overwrite") -> None:
+def land(raw: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = True) -> None:
     """Place raw trips under ``year=YYYY/month=MM`` (two-digit month).
 
-    Existing months are kept (dynamic overwrite): landing a month again
-    replaces only that month, like skipping/refreshing one monthly file.
+    By default existing months are kept (dynamic overwrite): landing a month
+    again replaces only that month, like refreshing one monthly file.
+    ``dynamic=False`` replaces the whole folder (a first, complete landing).
     """
     out = raw.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
-    (out.hint("rebalance", "year", "month").write.mode(mode)
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("year", "month").parquet(path))
+    w = out.hint("rebalance", "year", "month").write.mode(mode)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.partitionBy("year", "month").parquet(path)

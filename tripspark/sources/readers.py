@@ -93,3 +93,8 @@ def create_external_raw_table(spark: SparkSession, name: str, path: str) -> None
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in RAW.fields)
     spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet "
               f"PARTITIONED BY (year, month) LOCATION '{path}'")
+
+
+def read_mart(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read back a mart written by the sinks (partition columns from paths)."""
+    return spark.read.schema(schema).parquet(path)
