@@ -16,7 +16,9 @@ def spark(tmp_path_factory):
 
     ckpt = str(tmp_path_factory.mktemp("ckpt"))
     s = build_session(master="local[4]", shuffle_partitions=8,
-                      conf={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g"})
+                      conf={"spark.checkpoint.dir": ckpt, "spark.driver.memory": "4g",
+                            # tiny tables: keep 8 writer tasks instead of coalescing to one
+                            "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     yield s
     s.stop()
 

@@ -94,6 +94,94 @@ def daily_service(enriched: DataFrame) -> DataFrame:
     return _date_parts(agg)
 
 
+# -- daily pre-aggregate ---------------------------------------------------------
+#
+# One pass over the trips builds a day × pickup id × dropoff id × flags table of
+# exact decimal sums and non-NULL counts. The three marts are re-aggregations
+# of it: the trips are scanned and shuffled once (as partial aggregates)
+# instead of three times, and the incremental path recomputes months of marts
+# from this small table instead of from the trips.
+
+CUBE_KEYS = ["trip_date", "day_of_week", "is_weekend", "PULocationID", "DOLocationID",
+             "is_airport_trip", "shared_request_flag", "wav_request_flag"]
+
+
+def daily_cube(trips: DataFrame) -> DataFrame:
+    """Exact additive measures per day and id-level group (no rounding yet)."""
+    agg = trips.groupBy(*CUBE_KEYS).agg(
+        F.count(F.lit(1)).alias("trip_count"),
+        F.sum("total_amount").alias("sum_amount"),
+        F.count("total_amount").alias("n_amount"),
+        F.sum("trip_miles").alias("sum_miles"),
+        F.count("trip_miles").alias("n_miles"),
+        F.sum("trip_duration_minutes").alias("sum_minutes"),
+        F.count("trip_duration_minutes").alias("n_minutes"),
+        F.sum("driver_pay").alias("sum_driver_pay"),
+        F.count_if(F.col("shared_match_flag")).alias("shared_matched_count"),
+        F.count_if(F.col("wav_match_flag")).alias("wav_matched_count"),
+    )
+    return _date_parts(agg, day=True)
+
+
+def _avg_from_sums(total: str, n: str) -> Column:
+    """``avg`` of a decimal(10,2) column rebuilt from its exact sum and count.
+
+    Spark evaluates that average as avg(unscaled long) in DOUBLE / 100, cast
+    to decimal(14,6) (the sums of integers are exact in DOUBLE below 2^53, so
+    the order of addition does not matter); the same steps are applied here,
+    then the mart's cast to decimal(10,2).
+    """
+    unscaled = (F.sum(total) * F.lit(100)).cast("bigint").cast("double")
+    cnt = F.sum(n)
+    return (F.when(cnt > 0, unscaled / cnt.cast("double") / F.lit(100.0))
+            .cast("decimal(14,6)").try_cast(MONEY))
+
+
+def borough_from_cube(cube: DataFrame, zones: DataFrame, zone_rows: int | None = None,
+                      broadcast_limit: int = BROADCAST_ZONE_ROWS) -> DataFrame:
+    """A1 from the pre-aggregate (equal to ``daily_borough`` of the trips)."""
+    named = join_zone_names(cube, zones, zone_rows, broadcast_limit)
+    agg = named.groupBy(*BOROUGH_KEYS).agg(
+        F.sum("trip_count").alias("trip_count"),
+        F.sum("sum_amount").try_cast(MONEY_SUM).alias("total_revenue"),
+        F.sum("sum_miles").try_cast(MONEY_SUM).alias("total_distance"),
+        F.sum("sum_minutes").try_cast("bigint").alias("total_duration"),
+        _avg_from_sums("sum_miles", "n_miles").alias("avg_borough_distance"),
+        _avg_from_sums("sum_minutes", "n_minutes").alias("avg_borough_duration"),
+    )
+    return _date_parts(agg)
+
+
+def zone_from_cube(cube: DataFrame, zones: DataFrame, zone_rows: int | None = None,
+                   broadcast_limit: int = BROADCAST_ZONE_ROWS) -> DataFrame:
+    """A2 from the pre-aggregate (equal to ``daily_zone`` of the trips)."""
+    if zone_rows is None:
+        zone_rows = check_zones(zones)
+    agg = cube.groupBy(*ZONE_KEYS).agg(
+        F.sum("trip_count").alias("trip_count"),
+        F.sum("sum_amount").try_cast(MONEY_SUM).alias("total_revenue"),
+        _avg_from_sums("sum_miles", "n_miles").alias("avg_zone_distance"),
+        _avg_from_sums("sum_minutes", "n_minutes").alias("avg_zone_duration"),
+        _avg_from_sums("sum_amount", "n_amount").alias("avg_fare_per_trip"),
+        F.sum("sum_driver_pay").try_cast(MONEY_SUM).alias("total_driver_pay"),
+    )
+    named = join_zone_names(agg, zones, zone_rows, broadcast_limit)
+    measures = ["trip_count", "total_revenue", "avg_zone_distance", "avg_zone_duration",
+                "avg_fare_per_trip", "total_driver_pay"]
+    return _date_parts(named.select(*ZONE_KEYS, *measures, *ZONE_NAME_COLUMNS), day=True)
+
+
+def service_from_cube(cube: DataFrame) -> DataFrame:
+    """A3 from the pre-aggregate (equal to ``daily_service`` of the trips)."""
+    agg = cube.groupBy(*SERVICE_KEYS).agg(
+        F.sum("trip_count").alias("trip_count"),
+        F.sum("sum_amount").try_cast(MONEY_SUM).alias("total_revenue"),
+        F.sum("shared_matched_count").alias("shared_matched_count"),
+        F.sum("wav_matched_count").alias("wav_matched_count"),
+    )
+    return _date_parts(agg)
+
+
 def compression_report(curated: DataFrame, borough: DataFrame, zone: DataFrame,
                        service: DataFrame) -> DataFrame:
     """Rows of each mart and their share of the curated rows (percent).

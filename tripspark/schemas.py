@@ -141,3 +141,29 @@ DAILY_SERVICE = _struct(
 def with_column(schema: StructType, name: str, dtype) -> StructType:
     """Schema plus one trailing nullable column (e.g. an incremental batch id)."""
     return StructType(list(schema.fields) + [StructField(name, dtype, True)])
+
+# Daily pre-aggregate at id level: the three marts are re-aggregations of it.
+MONEY_TOTAL = DecimalType(20, 2)
+DAILY_CUBE = _struct(
+    ("trip_date", DateType()),
+    ("day_of_week", StringType()),
+    ("is_weekend", BooleanType()),
+    ("PULocationID", IntegerType()),
+    ("DOLocationID", IntegerType()),
+    ("is_airport_trip", BooleanType()),
+    ("shared_request_flag", BooleanType()),
+    ("wav_request_flag", BooleanType()),
+    ("trip_count", LongType()),
+    ("sum_amount", MONEY_TOTAL),
+    ("n_amount", LongType()),
+    ("sum_miles", MONEY_TOTAL),
+    ("n_miles", LongType()),
+    ("sum_minutes", MONEY_TOTAL),
+    ("n_minutes", LongType()),
+    ("sum_driver_pay", MONEY_TOTAL),
+    ("shared_matched_count", LongType()),
+    ("wav_matched_count", LongType()),
+    ("year", IntegerType()),
+    ("month", IntegerType()),
+    ("day", IntegerType()),
+)
