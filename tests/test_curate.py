@@ -148,3 +148,29 @@ def test_cbd_fee_default_zero_and_optional_column(spark):
     r = curate(df, cbd_column="cbd_fee").first()
     assert r["cbd_congestion_fee"] == Decimal("0.75")
     assert r["total_fare"] == Decimal("14.50")
+
+
+def test_total_duration_truncates_and_avg_rounds_twice(spark):
+    from tripspark.operators.marts import daily_borough
+
+    rows = [raw_row(trip_time=t) for t in (3719, 3720, 3720)]  # 61.98 + 62.00 + 62.00 minutes
+    e = validate(cur(spark, *rows)).withColumn("pickup_borough", F.lit("A")).withColumn(
+        "dropoff_borough", F.lit("B"))
+    r = daily_borough(e).first()
+    assert r["total_duration"] == 185  # 185.98 truncated, not rounded
+    assert r["avg_borough_duration"] == Decimal("61.99")  # 61.993333 -> 61.99
+
+
+def test_timestamp_without_zone_input_uses_session_zone(spark):
+    base = frame(spark, raw_row())
+    ntz = base.withColumn("pickup_datetime", F.col("pickup_datetime").cast("timestamp_ntz"))
+    assert ntz.schema["pickup_datetime"].dataType.simpleString() == "timestamp_ntz"
+    a, b = curate(base).first(), curate(ntz).first()
+    assert a["pickup_datetime"] == b["pickup_datetime"] and a["trip_date"] == b["trip_date"]
+    assert b["pickup_hour"] == 23
+
+
+def test_has_rows(spark):
+    from tripspark.sources.readers import has_rows
+
+    assert has_rows(frame(spark, raw_row())) and not has_rows(frame(spark))

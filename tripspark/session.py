@@ -24,7 +24,7 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", app: str = "tripspark",
+def build_session(master: str | None = "local[*]", app: str = "tripspark",
                   shuffle_partitions: int | None = 8,
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings every layer relies on.
@@ -32,7 +32,9 @@ def build_session(master: str = "local[*]", app: str = "tripspark",
     ``spark.sql.session.timeZone=UTC`` matters for correctness: raw timestamps
     without a zone are cast with the session zone (SURVEY §1.4-12).
     """
-    b = SparkSession.builder.master(master).appName(app)
+    b = SparkSession.builder.appName(app)
+    if master:  # None: keep what spark-submit / the cluster configured
+        b = b.master(master)
     settings = dict(DEFAULT_CONF)
     if shuffle_partitions is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -98,3 +98,8 @@ def create_external_raw_table(spark: SparkSession, name: str, path: str) -> None
 def read_mart(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read back a mart written by the sinks (partition columns from paths)."""
     return spark.read.schema(schema).parquet(path)
+
+
+def has_rows(df: DataFrame) -> bool:
+    """Whether anything new arrived (stops at the first row found)."""
+    return not df.isEmpty()
