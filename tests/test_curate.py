@@ -174,3 +174,17 @@ def test_has_rows(spark):
     from tripspark.sources.readers import has_rows
 
     assert has_rows(frame(spark, raw_row())) and not has_rows(frame(spark))
+
+
+def test_raw_files_with_other_physical_types(spark, tmp_path):
+    """Zone-less timestamps and int32/int64 ids read through the declared raw schema."""
+    from tripspark.sources.readers import read_raw
+
+    base = frame(spark, raw_row())
+    odd = base.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.endswith("_datetime")
+                        else F.col(c).cast("int").alias(c) if c in ("PULocationID", "DOLocationID", "trip_time")
+                        else F.col(c) for c in base.columns if c not in ("year", "month")])
+    odd.write.parquet(str(tmp_path / "raw" / "year=2024" / "month=03"))
+    a = curate(read_raw(spark, str(tmp_path / "raw"))).drop("processing_timestamp").first()
+    b = curate(base).drop("processing_timestamp").first()
+    assert a == b

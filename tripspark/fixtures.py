@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tripspark.schemas import RAW, ZONE
 from tripspark.session import path_exists, scratch_root
 
-FIXTURE_VERSION = "v1"
+FIXTURE_VERSION = "v2"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -24,8 +24,8 @@ RAW = """raw AS (
     CAST(CASE WHEN l_returnflag = 'A' THEN req + to_seconds(120) ELSE NULL END AS TIMESTAMP) AS on_scene_datetime,
     CAST(CASE WHEN k % 71 = 0 THEN NULL ELSE pu END AS TIMESTAMP) AS pickup_datetime,
     CAST(CASE WHEN k % 73 = 0 THEN NULL WHEN k % 31 = 0 THEN pu ELSE pu + to_seconds(tt) END AS TIMESTAMP) AS dropoff_datetime,
-    CAST(CASE WHEN k % 37 = 0 THEN NULL WHEN k % 43 = 0 THEN 99 ELSE s_nationkey END AS INTEGER) AS PULocationID,
-    CAST(CASE WHEN k % 79 = 0 THEN NULL ELSE c_nationkey END AS INTEGER) AS DOLocationID,
+    CAST(CASE WHEN k % 37 = 0 THEN NULL WHEN k % 43 = 0 THEN 99 ELSE s_nationkey END AS BIGINT) AS PULocationID,
+    CAST(CASE WHEN k % 79 = 0 THEN NULL ELSE c_nationkey END AS BIGINT) AS DOLocationID,
     CASE WHEN k % 47 = 0 THEN NULL WHEN k % 53 = 0 THEN 600e0 ELSE l_quantity * 37e0 / 100e0 END AS trip_miles,
     CAST(tt AS BIGINT) AS trip_time,
     CASE WHEN k % 61 = 0 THEN -5e0 WHEN k % 67 = 0 THEN 20000e0 WHEN k % 83 = 0 THEN NULL

@@ -20,6 +20,9 @@ FLAG_COLUMNS = ["shared_request_flag", "shared_match_flag", "access_a_ride_flag"
                 "wav_request_flag", "wav_match_flag"]
 
 # Raw trip file as landed under year=/month= directories (FIXTURES.md §1).
+# Read types are the widest the files may carry: Parquet widens int32 -> bigint,
+# float/int32 -> double and zone-less timestamps -> timestamp on read, but never
+# narrows, so ids are declared bigint; ``curate`` casts them to int.
 RAW = _struct(
     ("hvfhs_license_num", StringType()),
     ("dispatching_base_num", StringType()),
@@ -28,8 +31,8 @@ RAW = _struct(
     ("on_scene_datetime", TimestampType()),
     ("pickup_datetime", TimestampType()),
     ("dropoff_datetime", TimestampType()),
-    ("PULocationID", IntegerType()),
-    ("DOLocationID", IntegerType()),
+    ("PULocationID", LongType()),
+    ("DOLocationID", LongType()),
     ("trip_miles", DoubleType()),
     ("trip_time", LongType()),
     *[(c, DoubleType()) for c in RAW_MONEY_COLUMNS],
