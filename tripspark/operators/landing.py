@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from tripspark.sources.readers import read_raw
 
+# Fixed values of the landing rules: the first full year landed in mode
+# ``historical`` and the trip type recorded in the landing marker.
 DEFAULT_BASE_YEAR = 2024
+DEFAULT_TRIP_TYPES = ["fhvhv"]
 
 
 def periods_between(df: DataFrame, start: Column, end: Column) -> DataFrame:
@@ -119,7 +122,8 @@ def landing_manifest(spark: SparkSession, path: str) -> DataFrame:
             .withColumn("period", F.format_string("%04d-%02d", "year", "month")))
 
 
-def manifest_record(manifest: DataFrame, job_type: str, latest: tuple[int, int]) -> DataFrame:
+def manifest_record(manifest: DataFrame, job_type: str, latest: tuple[int, int],
+                    trip_types: list[str] | None = None) -> DataFrame:
     """The landing marker: one row summarising a landing run."""
     period = f"{latest[0]:04d}-{latest[1]:02d}"
     return manifest.agg(
@@ -130,7 +134,7 @@ def manifest_record(manifest: DataFrame, job_type: str, latest: tuple[int, int])
         F.current_timestamp().alias("ingestion_date"),
         F.lit(job_type).alias("job_type"),
         F.lit(period).alias("data_period"),
-        F.array(F.lit("fhvhv")).alias("taxi_types"),
+        F.array(*[F.lit(t) for t in (trip_types or DEFAULT_TRIP_TYPES)]).alias("taxi_types"),
         F.coalesce("total_files", F.lit(0)).alias("total_files"),
         F.coalesce("total_size_gb", F.lit(0.0)).alias("total_size_gb"),
         F.coalesce("total_rows", F.lit(0)).alias("total_rows"),
