@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from tripspark.schemas import RAW, ZONE
 from tripspark.session import path_exists, scratch_root
 
 FIXTURE_VERSION = "v2"
+_LOCK = threading.Lock()  # one landing at a time if queries run on several threads
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,15 +136,17 @@ def raw_path(spark: SparkSession, sf_dir: str) -> str:
     from tripspark.sinks.writers import land
 
     path = f"{fixture_dir(spark, sf_dir)}/raw"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        land(trip_view(spark, sf_dir), path, dynamic=False)
+    with _LOCK:
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            land(trip_view(spark, sf_dir), path, dynamic=False)
     return path
 
 
 def zone_csv_path(spark: SparkSession, sf_dir: str) -> str:
     """Zone lookup as CSV with header, like the reference's lookup file."""
     path = f"{fixture_dir(spark, sf_dir)}/zones_csv"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        (zone_view(spark, sf_dir).select(*[f.name for f in ZONE.fields])
-         .write.mode("overwrite").option("header", True).csv(path))
+    with _LOCK:
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            (zone_view(spark, sf_dir).select(*[f.name for f in ZONE.fields])
+             .write.mode("overwrite").option("header", True).csv(path))
     return path
