@@ -143,13 +143,15 @@ _INCREMENTAL: dict[tuple[str, str], IncrementalPipeline] = {}
 
 def incremental_pieces(raw_df: DataFrame) -> list[DataFrame]:
     """Three landings whose union is the whole table: the first half of the
-    months, the second half, then a late piece holding part of the rows of
-    days already processed in the first run."""
+    months, the second half, then a late file for the last month of the first
+    half (a quarter of that month's rows, chosen by row hash), whose days were
+    already processed by the first run."""
     idx = F.col("year") * 12 + F.col("month")
     b = raw_df.agg(F.min(idx).alias("lo"), F.max(idx).alias("hi")).first()
-    early = idx <= F.lit((b["lo"] + b["hi"]) // 2)
-    late = F.pmod(F.xxhash64(*raw_df.columns), F.lit(4)) == 0
-    return [raw_df.filter(early & ~late), raw_df.filter(~early), raw_df.filter(early & late)]
+    mid = (b["lo"] + b["hi"]) // 2
+    early = idx <= F.lit(mid)
+    late = (idx == F.lit(mid)) & (F.pmod(F.xxhash64(*raw_df.columns), F.lit(4)) == 0)
+    return [raw_df.filter(early & ~late), raw_df.filter(~early), raw_df.filter(late)]
 
 
 def incremental_run(spark: SparkSession, sf: str) -> IncrementalPipeline:

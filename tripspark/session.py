@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Only matters for tiny shuffles: keep several writer tasks when a small
+    # batch fans out into many day folders (large partitions are sized by
+    # spark.sql.adaptive.advisoryPartitionSizeInBytes as usual).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
