@@ -33,11 +33,11 @@ def profile_raw(raw: DataFrame) -> dict[str, DataFrame]:
 
 
 def raw_to_curated(spark: SparkSession, raw_path: str, curated_path: str,
-                   processed_at=None) -> dict[str, object]:
+                   processed_at=None, rebalance: bool = True) -> dict[str, object]:
     """Curate, validate and write the curated layer in one pass."""
     obs = Observation("validation")
     valid = validate(curate(read_raw(spark, raw_path), processed_at=processed_at), obs)
-    write_curated(valid, curated_path)
+    write_curated(valid, curated_path, rebalance=rebalance)
     m = obs.get
     initial, valid_n = int(m["initial_count"]), int(m["valid_count"])
     rejected = initial - valid_n

@@ -33,9 +33,13 @@ def write_partitioned(df: DataFrame, path: str, partitions: tuple[str, ...] | li
     w.parquet(path)
 
 
-def write_curated(df: DataFrame, path: str, dynamic: bool = False) -> None:
-    """K1: curated trips by year/month/day."""
-    write_partitioned(df, path, CURATED_PARTITIONS, dynamic=dynamic)
+def write_curated(df: DataFrame, path: str, dynamic: bool = False, rebalance: bool = True) -> None:
+    """K1: curated trips by year/month/day.
+
+    ``rebalance=False`` skips the shuffle before the write (each task then
+    writes one file per day it holds: cheaper job, many more small files).
+    """
+    write_partitioned(df, path, CURATED_PARTITIONS, dynamic=dynamic, rebalance=rebalance)
 
 
 def write_daily_borough(df: DataFrame, path: str, dynamic: bool = False) -> None:
