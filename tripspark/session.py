@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A day holding a large share of the trips is split across writer tasks
+    # by the REBALANCE before every partitioned write.
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Only matters for tiny shuffles: keep several writer tasks when a small
     # batch fans out into many day folders (large partitions are sized by
     # spark.sql.adaptive.advisoryPartitionSizeInBytes as usual).
