@@ -19,7 +19,10 @@ def same(a, b):
 def test_raw_to_curated_then_aggregated(spark, sf_small):
     out = new_scratch_dir(spark, "c1c2")
     m = pipelines.raw_to_curated(spark, fixtures.raw_path(spark, sf_small), f"{out}/curated",
-                                 processed_at=registry.processed_at())
+                                 processed_at=registry.processed_at(), rejects_path=f"{out}/rejects")
+    rejects = spark.read.parquet(f"{out}/rejects")
+    assert rejects.count() == m["rejected_count"]
+    assert rejects.filter("failed_rules = '' OR failed_rules IS NULL").count() == 0
     valid = registry.valid(spark, sf_small)
     assert m["valid_count"] == valid.count()
     assert m["initial_count"] == registry.raw(spark, sf_small).count()

@@ -71,6 +71,14 @@ def validation_metrics(curated: DataFrame) -> DataFrame:
          * F.lit(100.0)).alias("rejection_rate_pct"))
 
 
+def rejected(curated: DataFrame) -> DataFrame:
+    """rows that fail validation, with ``failed_rules`` listing every rule
+    they broke (comma-separated, in rule order) — for logging or quarantine."""
+    names = [F.when(~F.coalesce(p, F.lit(False)), F.lit(n)) for n, p in validation_rules().items()]
+    return (curated.filter(~F.coalesce(is_valid(), F.lit(False)))
+            .withColumn("failed_rules", F.concat_ws(",", *names)))
+
+
 def rejects_by_rule(curated: DataFrame) -> DataFrame:
     """for each rule, how many rows fail it (a row may fail several),
     plus the number of rejected rows overall (``rule = 'any'``).

@@ -274,6 +274,10 @@ SELECT initial_count, valid_count, initial_count - valid_count AS rejected_count
 FROM (SELECT count(*) AS initial_count,
              CAST(count_if(coalesce({VALID_PREDICATE}, false)) AS BIGINT) AS valid_count
       FROM curated) m""")
+    failed = ", ".join(f"CASE WHEN NOT coalesce({pred}, false) THEN '{name}' END" for name, pred in RULES.items())
+    q["rejected_trips"] = _with("curated", f"""
+SELECT *, concat_ws(',', {failed}) AS failed_rules
+FROM curated WHERE NOT coalesce({VALID_PREDICATE}, false)""")
     q["rejects_by_rule"] = _with("curated", _union_counts(
         list(RULES.items()) + [("any", VALID_PREDICATE)], "curated"))
     q["column_profile"] = _with("raw", _column_profile())

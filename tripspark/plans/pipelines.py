@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from tripspark.operators.curate import curate
 from tripspark.operators.marts import borough_from_cube, daily_cube, service_from_cube, zone_from_cube
-from tripspark.operators.quality import column_profile, dataset_overview, license_distribution, validate
+from tripspark.operators.quality import (column_profile, dataset_overview, license_distribution, rejected,
+                                         validate)
 from tripspark.schemas import DAILY_CUBE
 from tripspark.sinks.writers import (write_curated, write_daily_borough, write_daily_service,
                                      write_daily_zone, write_partitioned)
@@ -33,16 +34,24 @@ def profile_raw(raw: DataFrame) -> dict[str, DataFrame]:
 
 
 def raw_to_curated(spark: SparkSession, raw_path: str, curated_path: str,
-                   processed_at=None, rebalance: bool = True) -> dict[str, object]:
-    """Curate, validate and write the curated layer in one pass."""
+                   processed_at=None, rebalance: bool = True,
+                   rejects_path: str | None = None) -> dict[str, object]:
+    """Curate, validate and write the curated layer in one pass.
+
+    With ``rejects_path`` the rejected rows and the rules they broke are also
+    written there (a second scan of raw; by default they are only counted).
+    """
     obs = Observation("validation")
     valid = validate(curate(read_raw(spark, raw_path), processed_at=processed_at), obs)
     write_curated(valid, curated_path, rebalance=rebalance)
+    if rejects_path:
+        bad = rejected(curate(read_raw(spark, raw_path), processed_at=processed_at))
+        bad.write.mode("overwrite").partitionBy("year", "month").parquet(rejects_path)
     m = obs.get
     initial, valid_n = int(m["initial_count"]), int(m["valid_count"])
-    rejected = initial - valid_n
-    return {"initial_count": initial, "valid_count": valid_n, "rejected_count": rejected,
-            "rejection_rate_pct": (rejected / initial * 100.0) if initial else None}
+    n_rejected = initial - valid_n
+    return {"initial_count": initial, "valid_count": valid_n, "rejected_count": n_rejected,
+            "rejection_rate_pct": (n_rejected / initial * 100.0) if initial else None}
 
 
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

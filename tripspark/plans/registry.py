@@ -24,7 +24,7 @@ from tripspark.operators.marts import (borough_from_cube, compression_report, da
                                        daily_service, daily_zone, service_from_cube, service_match_rate,
                                        service_ordered, top_boroughs, top_routes, weekend_revenue,
                                        zone_from_cube)
-from tripspark.operators.quality import (column_profile, dataset_overview, license_distribution,
+from tripspark.operators.quality import (column_profile, dataset_overview, license_distribution, rejected,
                                          rejects_by_rule, validate, validation_metrics)
 from tripspark.schemas import DAILY_BOROUGH, DAILY_SERVICE, DAILY_ZONE
 from tripspark.session import new_scratch_dir
@@ -190,6 +190,7 @@ def queries() -> dict[str, Query]:
         "curated_preview": lambda s, sf: preview(valid(s, sf)),
         "validation_metrics": lambda s, sf: validation_metrics(curated(s, sf)),
         "rejects_by_rule": lambda s, sf: rejects_by_rule(curated(s, sf)),
+        "rejected_trips": lambda s, sf: rejected(curated(s, sf)),
         "column_profile": lambda s, sf: column_profile(raw(s, sf)),
         "license_distribution": lambda s, sf: license_distribution(raw(s, sf)),
         "dataset_overview": lambda s, sf: dataset_overview(raw(s, sf)),
