@@ -11,7 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-HEADLINE = ["validate_trips", "enrich_trips", "daily_borough", "daily_zone", "daily_service",
+HEADLINE = ["validate_trips", "rejected_trips", "enrich_trips", "daily_borough", "daily_zone", "daily_service",
             "rejects_by_rule", "column_profile", "compression_report", "top_routes", "raw_scan_month",
             "current_month_trips"]
 
