@@ -19,7 +19,10 @@ def same(a, b):
 def test_raw_to_curated_then_aggregated(spark, sf_small):
     out = new_scratch_dir(spark, "c1c2")
     m = pipelines.raw_to_curated(spark, fixtures.raw_path(spark, sf_small), f"{out}/curated",
-                                 processed_at=registry.processed_at(), rejects_path=f"{out}/rejects")
+                                 processed_at=registry.processed_at(), rejects_path=f"{out}/rejects",
+                                 profile=True)
+    assert sum(m["licenses"].values()) == m["initial_count"]
+    assert m["raw_columns"] == 26 and m["raw_null_counts"]["hvfhs_license_num"] == 0
     rejects = spark.read.parquet(f"{out}/rejects")
     assert rejects.count() == m["rejected_count"]
     assert rejects.filter("failed_rules = '' OR failed_rules IS NULL").count() == 0

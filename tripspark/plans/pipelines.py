@@ -35,12 +35,22 @@ def profile_raw(raw: DataFrame) -> dict[str, DataFrame]:
 
 def raw_to_curated(spark: SparkSession, raw_path: str, curated_path: str,
                    processed_at=None, rebalance: bool = True,
-                   rejects_path: str | None = None) -> dict[str, object]:
+                   rejects_path: str | None = None, profile: bool = False) -> dict[str, object]:
     """Curate, validate and write the curated layer in one pass.
 
     With ``rejects_path`` the rejected rows and the rules they broke are also
     written there (a second scan of raw; by default they are only counted).
+    ``profile=True`` adds the raw-layer reports: NULLs per column and the row
+    count (one aggregate job) and trips per license (one more); both results
+    are bounded by the number of columns / licenses.
     """
+    out: dict[str, object] = {}
+    if profile:
+        raw = read_raw(spark, raw_path)
+        prof = column_profile(raw).collect()
+        out["raw_columns"] = len(raw.columns)
+        out["raw_null_counts"] = {r["column_name"]: r["null_count"] for r in prof}
+        out["licenses"] = {r["hvfhs_license_num"]: r["count"] for r in license_distribution(raw).collect()}
     obs = Observation("validation")
     valid = validate(curate(read_raw(spark, raw_path), processed_at=processed_at), obs)
     write_curated(valid, curated_path, rebalance=rebalance)
@@ -50,8 +60,9 @@ def raw_to_curated(spark: SparkSession, raw_path: str, curated_path: str,
     m = obs.get
     initial, valid_n = int(m["initial_count"]), int(m["valid_count"])
     n_rejected = initial - valid_n
-    return {"initial_count": initial, "valid_count": valid_n, "rejected_count": n_rejected,
-            "rejection_rate_pct": (n_rejected / initial * 100.0) if initial else None}
+    out.update({"initial_count": initial, "valid_count": valid_n, "rejected_count": n_rejected,
+                "rejection_rate_pct": (n_rejected / initial * 100.0) if initial else None})
+    return out
 
 
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
