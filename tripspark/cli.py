@@ -1,6 +1,6 @@
 """Command-line jobs (the batch and incremental entry points).
 
-    python -m tripspark.cli raw-to-curated --raw R --curated C
+    python -m tripspark.cli raw-to-curated --raw R --curated C [--rejects Q] [--profile]
     python -m tripspark.cli curated-to-aggregated --curated C --zones Z --out O
     python -m tripspark.cli incremental --raw R --zones Z --out O [--max-files-per-trigger N]
     python -m tripspark.cli landing --raw R --mode historical|current [--as-of YYYY-MM-DD]
@@ -32,6 +32,8 @@ def main(argv: list[str] | None = None) -> dict:
     a = sub.add_parser("raw-to-curated")
     a.add_argument("--raw", required=True)
     a.add_argument("--curated", required=True)
+    a.add_argument("--rejects", default=None, help="also write rejected rows with their failed rules here")
+    a.add_argument("--profile", action="store_true", help="add raw NULL counts and license distribution")
     b = sub.add_parser("curated-to-aggregated")
     b.add_argument("--curated", required=True)
     b.add_argument("--zones", required=True)
@@ -53,7 +55,7 @@ def main(argv: list[str] | None = None) -> dict:
 
     spark = build_session(master=args.master, shuffle_partitions=None)
     if args.job == "raw-to-curated":
-        out = raw_to_curated(spark, args.raw, args.curated)
+        out = raw_to_curated(spark, args.raw, args.curated, rejects_path=args.rejects, profile=args.profile)
     elif args.job == "curated-to-aggregated":
         out = curated_to_aggregated(spark, args.curated, args.zones, args.out)
     elif args.job == "incremental":
