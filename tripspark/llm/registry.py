@@ -59,3 +59,32 @@ def op8_word_table_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_words(table(spark, sf_dir, "documents"), tokenizer_path()).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op3_oracle() -> str:
+    """Groups of equal normalised texts in DuckDB."""
+    return r"""
+WITH t AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
+), g AS (
+  SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY norm
+)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(norm) AS text_sha256
+FROM t JOIN g USING (norm)"""
+
+
+def queries() -> dict[str, Query]:
+    import corpus_pipeline
+
+    return {
+        "op2_compression_quality": op2_compression_quality,
+        "op3_stateful_dedup": op3_stateful_dedup,
+        "op4_parity_jaccard": op4_parity_jaccard,
+        "op6_source_mixing": op6_source_mixing,
+        "op8_word_table_bpe": op8_word_table_bpe,
+        "pipeline": corpus_pipeline.run,
+    }
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"op3_stateful_dedup": op3_oracle()}

@@ -212,7 +212,7 @@ def _join(path: str, columns: int):
                     continue
                 if len(pieces) != len(ids):
                     pieces = [" ".join(map(piece, np.frombuffer(b, np.uint32).tolist())) for b in ids]
-                if len(ids) != int(key.split("-")[2]):
+                if len(ids) != int(key.split("-")[0]):
                     raise RuntimeError("the input's rows changed between two passes; write them to a table first")
                 take = batch.column(3)[i].values.to_pylist()
                 id_out.append(b"".join([ids[k] for k in take]))
