@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripspark.llm.common import held_out
@@ -61,6 +61,52 @@ def op8_word_table_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op5_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripspark.llm.projection_neighbors import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op7_assignment_lexing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripspark.llm.secret_scan import BASE_KINDS, find_secrets
+
+    def written(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return find_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", *[count(k) for k in BASE_KINDS],
+        F.sha2(written(F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))).cast("binary"), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"))
+
+
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op9_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripspark.llm.chat_format import expand, read_back
+
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(F.lit(-7).cast(talks.schema["conv_id"].dataType).alias("conv_id"),
+                                F.col("id").cast(talks.schema["turn"].dataType).alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                F.lit(CONTROL_TEXT).alias("text"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read_back(expand(talks.unionByName(own))).select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        F.length("trained").cast("long").alias("loss_chars"),
+        F.sha2(F.col("trained").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
+
+
+def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripspark.llm.language_id import fit, identify
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs, fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op3_oracle() -> str:
     """Groups of equal normalised texts in DuckDB."""
     return r"""
@@ -73,6 +119,32 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM t JOIN g USING (norm)"""
 
 
+def op9_oracle() -> str:
+    """The same conversations in DuckDB; the written length of a turn follows from its escapes."""
+    return r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), w AS (
+  SELECT *, 13 + length(role) + length(regexp_replace(role, '[^\\#<\n]', '', 'g'))
+            + length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g')) AS n,
+         row_number() OVER o AS at, max(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER (
+           PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used
+  FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), c AS (
+  SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY at) AS upto FROM w
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY at)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY at) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(coalesce(sum(upto) FILTER (role = 'assistant'), 0) + coalesce(sum(n) FILTER (used = 0), 0) AS BIGINT)
+         AS formatted_chars
+FROM c GROUP BY conv_id"""
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
@@ -80,11 +152,15 @@ def queries() -> dict[str, Query]:
         "op2_compression_quality": op2_compression_quality,
         "op3_stateful_dedup": op3_stateful_dedup,
         "op4_parity_jaccard": op4_parity_jaccard,
+        "op5_projection_passes": op5_projection_passes,
         "op6_source_mixing": op6_source_mixing,
+        "op7_assignment_lexing": op7_assignment_lexing,
         "op8_word_table_bpe": op8_word_table_bpe,
+        "op9_prefix_targets": op9_prefix_targets,
+        "op10_cross_parsing": op10_cross_parsing,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_stateful_dedup": op3_oracle()}
+    return {"op3_stateful_dedup": op3_oracle(), "op9_prefix_targets": op9_oracle()}
