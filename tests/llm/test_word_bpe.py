@@ -59,7 +59,7 @@ def test_blocks_of_one_row_and_equal_blocks(spark, tokenizer, monkeypatch):
     path = registry.tokenizer_path()
     batches = [__import__("pyarrow").RecordBatch.from_pydict({"c0": [i], "t": [t.encode()]}) for i, t in rows_]
     monkeypatch.setattr(op, "BLOCK_BYTES", 10)
-    keys = [b[0] for b in op._blocks(iter(batches), path, 4)]
+    keys = [b[0] for b in op._blocks(iter(batches), 4)]
     assert len(keys) == 22 and len(set(keys)) == 3
     df = spark.createDataFrame(rows_, "doc_id long, text string")
     assert got(op.encode_words(df, path)) == want(tokenizer, rows_)
@@ -68,3 +68,17 @@ def test_blocks_of_one_row_and_equal_blocks(spark, tokenizer, monkeypatch):
 def test_empty_table(empty_docs):
     out = op.encode_words(empty_docs, registry.tokenizer_path())
     assert out.columns == ["doc_id", "n_tokens", "ids", "decoded"] and out.count() == 0
+
+
+def test_word_wise_tokenizers_are_told_from_others(tokenizer):
+    op.check_word_wise(tokenizer)
+    import public_tokenizers
+
+    with pytest.raises(ValueError):
+        op.check_word_wise(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def test_numbers_beyond_16_bits(spark, tokenizer):
+    many = " ".join(f"w{i}" for i in range(70_000))
+    df = spark.createDataFrame([(1, many), (2, "w69999 w1 w65536")], "doc_id long, text string").coalesce(1)
+    assert got(op.encode_words(df, registry.tokenizer_path())) == want(tokenizer, [(1, many), (2, "w69999 w1 w65536")])

@@ -1,25 +1,23 @@
 """BPE encoding and decoding through a distinct-word table (operator 8).
 
-Method. Texts are split into words exactly as the tokenizer's normaliser and
-pre-tokenizer split them. Rows are gathered into blocks of bounded size; a block
-emits its distinct words, dealt by a hash of the word, and its rows as positions
-in the block's sorted word list. Where equal words of all blocks meet, each is
-encoded once: the distinct-word table. Its ids go back to the blocks that asked
-and are joined to the rows by position. Decoding joins ids to the vocabulary's
-pieces, again once for each distinct word. Words never combine across their
-borders, so the joined ids are those of the whole text.
-
-The special strings of the tokenizer are words of their own.
-
-Scale. Nothing is broadcast but the tokenizer. Shuffled are a block's distinct
-words (as arrays, one row for each bucket of words), their ids, and a four-byte
-position for each word; texts are not. Buckets are even whatever word is
-frequent, as a block sends each word once. A block holds BLOCK_BYTES of text or
-a single longer one.
-
-A block's key is a digest of its texts, so equal blocks may share their words' ids.
-Both passes over the texts must form the same blocks, which they do over stable
-input such as Parquet files; other input fails with an error, not with wrong ids.
+Method. Texts are split at white space, which no token of this kind of tokenizer
+crosses: its normaliser and pre-tokenizer work within words, and its special
+strings hold no white space. Rows are gathered into blocks of bounded size; a
+block emits its distinct words, dealt by a hash of the word, and its rows as
+numbers of words. Where equal words of all blocks meet, each is encoded once:
+the distinct-word table. Its ids go back to the blocks that asked, and are joined
+to the rows by position. Decoding joins ids to the vocabulary's pieces, once for
+each distinct word of a block. ``check_word_wise`` tells whether a tokenizer
+file has the parts that this rests on.
+
+Scale. Nothing is broadcast but the tokenizer's path. Shuffled are a block's
+distinct words (a row for each bucket), their ids, and two to three bytes for
+each word of a text; texts are not. Buckets are even whatever word is frequent,
+as a block sends each word once. A block holds BLOCK_BYTES of text or a single
+longer one. A block's key is a digest of its texts, so equal blocks may share
+their words' ids. Both passes over the texts must form the same blocks, which
+they do over stable input such as Parquet files; other input fails with an
+error, not with wrong ids.
 
 Cases. Null text is empty: no ids and an empty decoded text. Rows that repeat,
 also with the same id, are encoded row by row. An empty table gives an empty
@@ -42,18 +40,18 @@ from tokenizers import Tokenizer
 
 from tripspark.llm.common import ROWS_PER_BATCH, as_text, python_stages, text_bytes
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 32 << 20
 #: Distinct words are dealt to this many buckets for each shuffle partition, MAX_BUCKETS at most.
 BUCKETS_PER_PARTITION, MAX_BUCKETS = 8, 1 << 16
 #: Bytes of ids in one Arrow batch of the result, beyond which it is closed.
 OUTPUT_BYTES = 8 << 20
-#: Stands after all buckets: a row of the table, not of the word list.
-_LAST = 2**31 - 1
+#: In the order of a block's records: its words' numbers, the ids of its buckets, its rows.
+_FIRST, _LAST = -1, 2**31 - 1
 
-# Fixed value: the pre-tokenizer's pattern, as in the tokenizer file.
-WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Text up to this character is normalised the same way by Python's own functions.
-_LAST_SIMPLE = "ɏ"
+#: White space as the tokenizer's patterns have it. Python's own split() also cuts at the four
+#: control characters in _NOT_SPACE.
+_SPACE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+_NOT_SPACE = regex.compile(r"[\x1c-\x1f]")
 
 _tokenizers: dict[str, Tokenizer] = {}
 
@@ -68,36 +66,35 @@ def load(path: str) -> Tokenizer:
     return _tokenizers[path]
 
 
-def splitter(tokenizer: Tokenizer) -> Callable[[str], list[str]]:
-    """A function that splits a text into the words that the tokenizer encodes one by one."""
-    special = sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
-    cut = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
-    words = regex.compile(WORD).findall
-    odd = regex.compile(f"[^\\x00-{_LAST_SIMPLE}]").search
-    normalize = tokenizer.normalizer.normalize_str
-
-    def plain(text: str) -> list[str]:
-        return words(text.lower() if odd(text) is None else normalize(text))
-
-    def split(text: str) -> list[str]:
-        if cut is None or "<|" not in text:
-            return plain(text)
-        out = []
-        for i, part in enumerate(cut.split(text)):
-            if i % 2:
-                out.append(part)
-            elif part:
-                out.extend(plain(part))
-        return out
-    return split
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], path: str, buckets: int):
-    """Blocks of rows: key, words in the order of (bucket, word), bucket of each word,
-    and each row's words as numbers of first appearance with the numbers' places in
-    that order, and the columns kept."""
-    split = splitter(load(path))
-    seen, size, digest = {}, 0, xxhash.xxh3_128()
+def check_word_wise(tokenizer: Tokenizer) -> None:
+    """Raise if white space could be part of a token or change one."""
+    probe = "Aa bb\t\n cc.dd  \u3000ee's"
+    ids = [i for w in split(probe) for i in tokenizer.encode(w, add_special_tokens=False).ids]
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    if ids != tokenizer.encode(probe, add_special_tokens=False).ids or any(_SPACE.search(s) for s in special):
+        raise ValueError("this tokenizer does not encode texts word by word")
+    if tokenizer.decoder is not None:
+        raise ValueError("this tokenizer's decoder is not a join of its pieces")
+
+
+def split(text: str) -> list[str]:
+    if _NOT_SPACE.search(text) is None:
+        return text.split()
+    return [w for w in _SPACE.split(text) if w]
+
+
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], buckets: int):
+    """Blocks of rows: (key, words in the order of (bucket, word), bucket of each, number
+    of each, the numbers of each row's words, the batches' parts that hold the rows)."""
+    seen, size, digest = _Numbers(), 0, xxhash.xxh3_128()
     rows: list[array] = []
     kept: list[pa.RecordBatch] = []
 
@@ -106,92 +103,102 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str, buckets: int):
         bucket = np.fromiter((xxhash.xxh64_intdigest(w) % buckets for w in words), dtype=np.int32, count=len(words))
         order = np.argsort(bucket, kind="stable")
         words = [words[i] for i in order.tolist()]
-        place = np.empty(len(words), dtype=np.int32)
-        place[np.fromiter((seen[w] for w in words), dtype=np.int64, count=len(words))] = np.arange(len(words))
-        return f"{len(words)}-{digest.hexdigest()}", words, bucket[order], rows, place, kept
+        numbers = np.fromiter(map(seen.__getitem__, words), dtype=np.int32, count=len(words))
+        return f"{len(words)}-{digest.hexdigest()}", words, bucket[order], numbers, rows, kept
 
     for batch in batches:
-        texts = batch.column(batch.num_columns - 1)
         begin = 0
-        for i in range(batch.num_rows):
-            raw = texts[i].as_py()
+        for i, raw in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
             if rows and size + len(raw) > BLOCK_BYTES:
                 kept.append(batch.slice(begin, i - begin))
                 yield close()
-                seen, size, digest, rows, kept, begin = {}, 0, xxhash.xxh3_128(), [], [], i
+                seen, size, digest, rows, kept, begin = _Numbers(), 0, xxhash.xxh3_128(), [], [], i
             size += len(raw)
             digest.update(len(raw).to_bytes(8, "little") + raw)
-            text = as_text(raw)
-            take = array("i")
-            for w in split(text):
-                n = seen.get(w)
-                if n is None:
-                    n = seen[w] = len(seen)
-                take.append(n)
-            rows.append(take)
+            rows.append(array("i", map(seen.__getitem__, split(as_text(raw)))))
         kept.append(batch.slice(begin))
     if rows:
         yield close()
 
 
-def _ask(path: str, buckets: int):
-    """The words of each block, a row for each bucket that has some."""
+def _ask(buckets: int):
+    """The words of each block, a row for each bucket that has some; words are joined by spaces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, words, bucket, _, _, _ in _blocks(batches, path, buckets):
+        for key, words, bucket, _, _, _ in _blocks(batches, buckets):
             own, begins = np.unique(bucket, return_index=True)
-            ends = pa.array(np.append(begins, len(words)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([key] * len(own)), pa.array(own), pa.ListArray.from_arrays(ends, pa.array(words, pa.string()))],
-                names=["block", "bucket", "words"])
+            ends = [*begins[1:].tolist(), len(words)]
+            lists = [" ".join(words[b:e]) for b, e in zip(begins.tolist(), ends, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([key] * len(own)), pa.array(own), pa.array(lists, pa.string())],
+                                             names=["block", "bucket", "words"])
     return run
 
 
+def _id_type(tokenizer: Tokenizer) -> type:
+    return np.uint16 if max(tokenizer.get_vocab(with_added_tokens=True).values()) < 1 << 16 else np.uint32
+
+
 def _encode(path: str):
-    """The distinct-word table of each bucket, whose rows arrive together: a word is
-    encoded when it is first seen, and every block gets the ids of its words."""
+    """The distinct-word table of each bucket, whose rows arrive together: a word is encoded when
+    it is first seen, and every block gets its words' ids and how many each word has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer, bucket, table = load(path), None, {}
+        kind = _id_type(tokenizer)
         for batch in batches:
-            out = []
-            for at, words in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            ids, lengths = [], []
+            for at, joined in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if at != bucket:
                     bucket, table = at, {}
+                words = joined.split(" ")
                 new = [w for w in words if w not in table]
                 for w, e in zip(new, tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                    table[w] = np.array(e.ids, dtype=np.uint32).tobytes()
-                out.append([table[w] for w in words])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.binary()))],
-                                             names=["block", "bucket", "ids"])
+                    table[w] = array("H" if kind is np.uint16 else "I", e.ids)
+                found = [table[w] for w in words]
+                ids.append(b"".join(found))
+                lengths.append(array("i", map(len, found)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()),
+                                              pa.array(lengths, pa.binary())], names=["block", "bucket", "low", "high"])
     return run
 
 
-def _places(path: str, buckets: int):
-    """Rows of each block with their words' places in the block's word list."""
+def _numbered(buckets: int):
+    """Each block's numbers in the order of its words, then its rows as words' numbers. Numbers are
+    written as two planes, the low 16 bits and the high ones, as most of the latter are zero."""
+    def planes(numbers: np.ndarray) -> tuple[bytes, bytes]:
+        return numbers.astype(np.uint16).tobytes(), (numbers >> 16).astype(np.uint16).tobytes()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, _, _, rows, place, kept in _blocks(batches, path, buckets):
+        for key, _, _, numbers, rows, kept in _blocks(batches, buckets):
             table = pa.Table.from_batches(kept)
             names = table.column_names[:-1]
+            kinds = [table.schema.field(n).type for n in names]
+
+            def record(at: int, parts: list[tuple[bytes, bytes]], columns: list[pa.Array]) -> pa.RecordBatch:
+                low, high = zip(*parts, strict=True)
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(parts)), pa.array([at] * len(parts), pa.int32()), pa.array(low, pa.binary()),
+                     pa.array(high, pa.binary()), *columns], names=["block", "bucket", "low", "high", *names])
+
+            yield record(_FIRST, [planes(numbers)], [pa.nulls(1, k) for k in kinds])
             for j in range(0, len(rows), ROWS_PER_BATCH):
                 group = rows[j:j + ROWS_PER_BATCH]
-                ends = np.zeros(len(group) + 1, dtype=np.int32)
-                np.cumsum([len(g) for g in group], out=ends[1:])
-                flat = place[np.concatenate([np.frombuffer(g, dtype=np.int32) for g in group])]
                 part = table.slice(j, len(group)).combine_chunks()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key] * len(group)), *[part.column(n).chunk(0) for n in names],
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))],
-                    names=["block", *names, "places"])
+                yield record(_LAST, [planes(np.frombuffer(g, dtype=np.int32)) for g in group],
+                             [part.column(n).chunk(0) for n in names])
     return run
 
 
 def _join(path: str, columns: int):
-    """Blocks in order: first their words' ids, bucket by bucket, then their rows."""
+    """Blocks in order: the numbers of their words, the words' ids by bucket, then the rows."""
+    def numbers(low: bytes, high: bytes) -> np.ndarray:
+        return np.frombuffer(low, np.uint16) + (np.frombuffer(high, np.uint16).astype(np.int32) << 16)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = load(path).get_vocab(with_added_tokens=True)
+        tokenizer = load(path)
+        kind = _id_type(tokenizer)
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
         piece = dict(zip(vocabulary.values(), vocabulary.keys(), strict=True)).__getitem__
-        block, last, ids, pieces = None, None, [], []
+        block, last, order, found, ids, pieces = None, None, None, [], [], []
         for batch in batches:
-            buckets = batch.column(1)
             id_out, text_out, rows, size = [], [], [], 0
 
             def packed():
@@ -201,20 +208,22 @@ def _join(path: str, columns: int):
                      pa.array(id_out, pa.binary()), pa.array(text_out, pa.string())],
                     names=[f"c{j}" for j in range(columns)] + ["n_tokens", "ids", "decoded"])
 
-            for i, key in enumerate(batch.column(0).to_pylist()):
-                at = buckets[i].as_py()
+            low, high = batch.column(2), batch.column(3)
+            for i, (key, at) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 if key != block:
-                    block, last, ids, pieces = key, None, [], []
+                    block, last, order, found, ids, pieces = key, None, None, [], None, None
+                if at == _FIRST:
+                    order = numbers(low[i].as_py(), high[i].as_py())
+                    continue
                 if at != _LAST:
                     if at != last:  # an equal block asks for the same words again
-                        ids.extend(batch.column(2)[i].as_py())
+                        found.append((low[i].as_py(), high[i].as_py()))
                     last = at
                     continue
-                if len(pieces) != len(ids):
-                    pieces = [" ".join(map(piece, np.frombuffer(b, np.uint32).tolist())) for b in ids]
-                if len(ids) != int(key.split("-")[0]):
-                    raise RuntimeError("the input's rows changed between two passes; write them to a table first")
-                take = batch.column(3)[i].values.to_pylist()
+                if ids is None:
+                    ids, pieces = _by_number(key, order, found, kind, piece)
+                    found = []
+                take = numbers(low[i].as_py(), high[i].as_py()).tolist()
                 id_out.append(b"".join([ids[k] for k in take]))
                 text_out.append(" ".join([pieces[k] for k in take if ids[k]]))
                 rows.append(i)
@@ -227,6 +236,22 @@ def _join(path: str, columns: int):
     return run
 
 
+def _by_number(key: str, order: np.ndarray, found: list[tuple[bytes, bytes]], kind: type, piece: Callable[[int], str]):
+    """The ids (bytes) and decoded pieces of a block's words, by the words' numbers."""
+    flat = np.frombuffer(b"".join(i for i, _ in found), kind).astype("<u4")
+    lengths = np.frombuffer(b"".join(n for _, n in found), np.int32)
+    if len(lengths) != int(key.split("-")[0]) or order is None or len(order) != len(lengths):
+        raise RuntimeError("the input's rows changed between two passes; write them to a table first")
+    ids, pieces = [b""] * len(order), [""] * len(order)
+    words = list(map(piece, flat.tolist()))
+    raw, ends = flat.tobytes(), np.cumsum(lengths).tolist()
+    begin = 0
+    for number, end in zip(order.tolist(), ends, strict=True):
+        ids[number], pieces[number] = raw[4 * begin:4 * end], " ".join(words[begin:end])
+        begin = end
+    return ids, pieces
+
+
 def encode_words(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """The columns ``keep`` of every row with n_tokens, ids (little-endian unsigned
     32-bit integers) and decoded (the text decoded from the ids) added.
@@ -234,18 +259,16 @@ def encode_words(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)
     ``path`` names the tokenizer file on every machine."""
     spark = docs.sparkSession
     python_stages(spark)
+    check_word_wise(load(path))
     buckets = min(MAX_BUCKETS, BUCKETS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")))
     given = docs.select(*[F.col(n).alias(f"c{i}") for i, n in enumerate(keep)], text_bytes(F.col(text_col)).alias("t"))
     types = [given.schema[f"c{i}"].dataType.simpleString() for i in range(len(keep))]
-    columns = "".join(f"c{i} {t}, " for i, t in enumerate(types))
-    asked = given.select("t").mapInArrow(_ask(path, buckets), "block string, bucket int, words array<string>")
+    columns = "".join(f", c{i} {t}" for i, t in enumerate(types))
+    asked = given.select("t").mapInArrow(_ask(buckets), "block string, bucket int, words string")
     known = (asked.repartition("bucket").sortWithinPartitions("bucket")
-             .mapInArrow(_encode(path), "block string, bucket int, ids array<binary>"))
-    known = known.select("*", F.lit(None).cast("array<int>").alias("places"),
-                         *[F.lit(None).cast(t).alias(f"c{i}") for i, t in enumerate(types)])
-    rows = given.mapInArrow(_places(path, buckets), f"block string, {columns}places array<int>")
-    rows = rows.select("block", F.lit(_LAST).alias("bucket"), F.lit(None).cast("array<binary>").alias("ids"), "places",
-                       *[F.col(f"c{i}") for i in range(len(keep))])
+             .mapInArrow(_encode(path), "block string, bucket int, low binary, high binary"))
+    known = known.select("*", *[F.lit(None).cast(t).alias(f"c{i}") for i, t in enumerate(types)])
+    rows = given.mapInArrow(_numbered(buckets), f"block string, bucket int, low binary, high binary{columns}")
     both = known.unionByName(rows).repartition("block").sortWithinPartitions("block", "bucket")
-    out = both.mapInArrow(_join(path, len(keep)), f"{columns}n_tokens bigint, ids binary, decoded string")
+    out = both.mapInArrow(_join(path, len(keep)), f"{columns[2:]}{', ' if columns else ''}n_tokens bigint, ids binary, decoded string")
     return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(keep)], "n_tokens", "ids", "decoded")
