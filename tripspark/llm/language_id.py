@@ -87,8 +87,9 @@ class SuffixAutomaton:
 
     def table(self, alphabet: np.ndarray) -> np.ndarray:
         """Flat transitions for the greedy parse: entry [state * width + symbol] holds
-        2 * next state * width, plus 1 where a phrase ends and the symbol begins the
-        next one. Symbol ``width - 2`` is any other byte, ``width - 1`` leaves all as it is."""
+        4 * next state * width plus the number of phrases that end: the one before a
+        symbol that doesn't go on, and a symbol that the training text lacks. Symbol
+        ``width - 2`` is such a byte, ``width - 1`` leaves all as it is."""
         width = int(alphabet.max()) + 2
         state, symbol, to = [], [], []
         for s, edges in enumerate(self.next):
@@ -97,12 +98,13 @@ class SuffixAutomaton:
                     state.append(s)
                     symbol.append(alphabet[c])
                     to.append(t)
-        out = np.ones((len(self.next), width), dtype=np.int64)
+        out = np.full((len(self.next), width), 2, dtype=np.int64)
+        out[0] = 1
         for c, t in self.next[0].items():
             if c < 256:
-                out[:, alphabet[c]] = 2 * t * width + 1
-        out[state, symbol] = 2 * np.array(to, dtype=np.int64) * width
-        out[:, width - 1] = 2 * np.arange(len(self.next)) * width
+                out[:, alphabet[c]] = 4 * t * width + 1
+        out[state, symbol] = 4 * np.array(to, dtype=np.int64) * width
+        out[:, width - 1] = 4 * np.arange(len(self.next)) * width
         return out.astype(np.int32).ravel()
 
 
@@ -129,9 +131,9 @@ def phrases(lanes: np.ndarray, table: np.ndarray) -> np.ndarray:
     for step in lanes:
         np.add(state, step, out=state)
         np.take(table, state, out=value)
-        np.bitwise_and(value, 1, out=state)
+        np.bitwise_and(value, 3, out=state)
         count += state
-        np.right_shift(value, 1, out=state)
+        np.right_shift(value, 2, out=state)
     return count + (state != 0)
 
 

@@ -17,6 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripspark.llm.repeat_removal import remove_repeats
+
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripspark.llm.compression_quality import fit, score_quality
 
@@ -119,6 +128,32 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM t JOIN g USING (norm)"""
 
 
+def op4_oracle() -> str:
+    """Shingle sets, their overlaps and the transitive closure of the links in DuckDB."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), g AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [hash(array_to_string(w, ' '))]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: hash(array_to_string(w[i:i + 4], ' '))))
+                 END AS s
+  FROM t
+), e AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS h FROM g
+), l AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.h = b.h AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), r AS (
+  SELECT doc_id, doc_id AS x FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM r JOIN l ON r.x = l.a
+)
+SELECT g.doc_id, CAST(len(g.s) AS BIGINT) AS n_shingles, min(r.x) AS component_id
+FROM g JOIN r USING (doc_id) GROUP BY g.doc_id, len(g.s)"""
+
+
 def op9_oracle() -> str:
     """The same conversations in DuckDB; the written length of a turn follows from its escapes."""
     return r"""
@@ -149,6 +184,7 @@ def queries() -> dict[str, Query]:
     import corpus_pipeline
 
     return {
+        "op1_run_length_repeats": op1_run_length_repeats,
         "op2_compression_quality": op2_compression_quality,
         "op3_stateful_dedup": op3_stateful_dedup,
         "op4_parity_jaccard": op4_parity_jaccard,
@@ -163,4 +199,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_stateful_dedup": op3_oracle(), "op9_prefix_targets": op9_oracle()}
+    return {"op3_stateful_dedup": op3_oracle(), "op4_parity_jaccard": op4_oracle(), "op9_prefix_targets": op9_oracle()}
