@@ -40,6 +40,8 @@ STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Files of a small instance aren't given their full length in advance.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     # The state before the only batch of a run is never read again.
     "spark.sql.streaming.minBatchesToRetain": "2",
 }
