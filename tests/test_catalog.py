@@ -23,3 +23,12 @@ def test_repair_registers_landed_months(spark, sf_small):
 
 def test_failed_repair_is_tolerated(spark):
     assert repair_partitions(spark, f"no_such_table_{uuid.uuid4().hex[:8]}") is False
+
+
+def test_catalog_queries_leave_one_table(spark, sf_small):
+    for _ in range(2):
+        registry.catalog_scan(spark, sf_small)
+        registry.catalog_repair(spark, sf_small)
+    path = fixtures.raw_path(spark, sf_small)
+    found = [t.name for t in spark.catalog.listTables() if t.name == registry._external_raw_table(spark, sf_small)]
+    assert len(found) == 1 and path

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 
 from tripspark import cli, fixtures
 from tripspark.plans import registry
@@ -19,6 +18,12 @@ def test_batch_jobs_and_landing_marker(spark, sf_small):
     assert c["daily_borough"] == registry.borough(spark, sf_small).count()
     r = cli.main(["landing", "--raw", raw, "--mode", "current", "--as-of", "2001-06-15",
                   "--marker", f"{out}/marker"])
-    doc = json.loads(open([os.path.join(f"{out}/marker", f) for f in os.listdir(f"{out}/marker")
-                           if f.endswith(".json")][0]).readline())
+    doc = json.loads(open(f"{out}/marker/ingestion.done").read())
     assert doc["data_period"] == r["latest"] and doc["job_type"] == "current" and doc["total_files"] >= 1
+    h = cli.main(["landing", "--raw", raw, "--mode", "historical", "--as-of", "2001-06-15", "--base-year", "1997",
+                  "--marker", f"{out}/marker"])
+    doc = json.loads(open(h["marker"]).read())
+    assert doc["data_period"] == "1997-01" and doc["data_period_end"] < doc["latest_available_month"] == h["latest"]
+    i = cli.main(["incremental", "--raw", raw, "--zones", zones, "--out", f"{out}/inc", "--compact"])
+    assert len(i["batches"]) == 1
+    assert cli.main(["incremental", "--raw", raw, "--zones", zones, "--out", f"{out}/inc/"])["batches"] == []

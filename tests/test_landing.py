@@ -65,17 +65,40 @@ def test_land_writes_two_digit_months_and_keeps_other_months(spark, sf_small):
     land(raw.filter((F.col("year") == 1996) & (F.col("month") == 2)), path)
     back = read_raw(spark, path)
     assert back.count() == first.count()
-    assert ym(landing.landed_periods(back)) == [(1996, 1), (1996, 2)]
+    assert ym(landing.landed_periods(spark, path)) == [(1996, 1), (1996, 2)]
 
 
 def test_manifest_record_json(spark, sf_small):
     path = fixtures.raw_path(spark, sf_small)
     m = landing.landing_manifest(spark, path)
-    rec = landing.manifest_record(m, "historical", (2001, 5))
+    first, last = min(ym(m)), max(ym(m))
+    rec = landing.manifest_record(m.filter(F.struct("year", "month") < F.struct(F.lit(last[0]), F.lit(last[1]))),
+                                  "historical", last, job_run_id="run-7", duplicate_files_skipped=3)
     out = new_scratch_dir(spark, "marker")
-    landing.write_manifest(rec, out)
-    files = [f for f in os.listdir(out) if f.endswith(".json")]
-    assert len(files) == 1
-    doc = json.loads(open(os.path.join(out, files[0])).readline())
-    assert doc["status"] == "SUCCESS" and doc["data_period"] == "2001-05"
-    assert doc["total_rows"] == read_raw(spark, path).count()
+    marker = landing.write_manifest(rec, out)
+    landing.write_manifest(rec, out)  # the name is fixed: written again, it is replaced
+    assert marker.endswith("/ingestion.done")
+    doc = json.loads(open(marker).read())
+    assert doc["data_period"] == "%04d-%02d" % first and doc["data_period_end"] < doc["latest_available_month"]
+    assert doc["latest_available_month"] == "%04d-%02d" % last
+    assert (doc["status"], doc["job_run_id"], doc["duplicate_files_skipped"]) == ("SUCCESS", "run-7", 3)
+    assert doc["publication_delay_months"] == 2 and doc["taxi_types"] == ["fhvhv"]
+    assert doc["total_rows"] < read_raw(spark, path).count()
+
+
+def test_a_month_with_an_empty_file_has_landed(spark, sf_small):
+    raw = read_raw(spark, fixtures.raw_path(spark, sf_small))
+    path = new_scratch_dir(spark, "empty-month")
+    land(raw.filter((F.col("year") == 1996) & (F.col("month") == 1)), path)
+    raw.filter("false").drop("year", "month").coalesce(1).write.parquet(f"{path}/year=1996/month=03")
+    have = landing.landed_periods(spark, path)
+    assert ym(have) == [(1996, 1), (1996, 3)]
+    assert ym(landing.missing_periods(landing.period_range(have), have)) == [(1996, 2)]
+    counts = {r["period"]: r["row_count"] for r in landing.landing_manifest(spark, path).collect()}
+    assert counts["1996-01"] > 0 and counts["1996-03"] == 0
+
+
+def test_empty_manifest(spark, sf_small):
+    m = landing.landing_manifest(spark, fixtures.raw_path(spark, sf_small)).filter("false")
+    r = landing.manifest_record(m, "current", (2001, 5)).first()
+    assert (r["status"], r["data_period"], r["latest_available_month"]) == ("EMPTY", "unknown", "2001-05")

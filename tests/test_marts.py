@@ -41,6 +41,16 @@ def test_duplicate_zone_id_raises(spark):
         check_zones(zones)
 
 
+def test_zones_without_id_are_tolerated(spark):
+    zones = spark.createDataFrame([(1, "A", "Z1", "S"), (None, "B", "Z2", "S"), (None, "C", "Z3", "S")], schema=ZONE)
+    assert check_zones(zones) == 3
+    trips = spark.createDataFrame([(1, 1), (None, 1)], "PULocationID int, DOLocationID int")
+    from tripspark.operators.enrich import join_zone_names
+
+    got = sorted((str(r["pickup_borough"]), r["dropoff_borough"]) for r in join_zone_names(trips, zones).collect())
+    assert got == [("A", "A"), ("None", "A")]
+
+
 def test_zone_names_equal_max_over_group(spark, sf_small):
     """Aggregate-then-join gives what max(name) over the joined rows gives."""
     valid = registry.valid(spark, sf_small)

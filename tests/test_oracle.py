@@ -7,10 +7,11 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as entry
+from tripspark.plans import registry
 from tools.oracle_check import duck_connection, duck_rows, spark_rows, type_match
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -21,7 +21,7 @@ def test_raw_to_curated_then_aggregated(spark, sf_small):
     m = pipelines.raw_to_curated(spark, fixtures.raw_path(spark, sf_small), f"{out}/curated",
                                  processed_at=registry.processed_at(), rejects_path=f"{out}/rejects",
                                  profile=True)
-    assert sum(m["licenses"].values()) == m["initial_count"]
+    assert sum(r["count"] for r in m["licenses"].collect()) == m["initial_count"] == m["raw_rows"]
     assert m["raw_columns"] == 26 and m["raw_null_counts"]["hvfhs_license_num"] == 0
     rejects = spark.read.parquet(f"{out}/rejects")
     assert rejects.count() == m["rejected_count"]
@@ -51,3 +51,10 @@ def test_marts_from_pre_aggregate_equal_direct_marts(spark, sf_small):
     assert same(marts.borough_from_cube(cube, z, n), registry.borough(spark, sf_small))
     assert same(marts.zone_from_cube(cube, z, n), registry.zone_mart(spark, sf_small))
     assert same(marts.service_from_cube(cube), registry.service(spark, sf_small))
+
+
+def test_profile_covers_columns_that_only_some_files_have(spark, sf_small):
+    path = fixtures.raw_cbd_path(spark, sf_small)
+    m = pipelines.raw_to_curated(spark, path, f"{new_scratch_dir(spark, 'c1cbd')}/curated", profile=True,
+                                 cbd_column=fixtures.CBD_COLUMN)
+    assert m["raw_columns"] == 27 and 0 < m["raw_null_counts"][fixtures.CBD_COLUMN] < m["raw_rows"]

@@ -5,13 +5,12 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry
 from tripspark.plans import inspect, registry
 
-QUERIES = entry.queries()
+QUERIES = registry.queries()
 
 
-WRITES_WHILE_BUILT = ("_roundtrip", "incremental_", "catalog_")
+WRITES_WHILE_BUILT = ("_roundtrip", "incremental_", "catalog_", "pipeline_", "has_rows")
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if not any(w in n for w in WRITES_WHILE_BUILT)))
@@ -43,6 +42,29 @@ def test_enrich_falls_back_when_zone_table_exceeds_limit(spark, sf_small):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("name", ["daily_service", "service_ordered", "service_match_rate"])
+def test_service_queries_join_nothing(spark, sf_small, name):
+    df = QUERIES[name](spark, sf_small)
+    assert inspect.join_strategies(df) == [] and inspect.plan_text(df).count("Scan parquet") <= 2
+
+
+def test_borough_mart_names_groups_not_trips(spark, sf_small):
+    plan = inspect.executed_plan(registry.borough(spark, sf_small))
+    assert plan.index("BroadcastHashJoin") < plan.index("partial_sum")  # the tree prints top-down
+    assert plan.rindex("BroadcastHashJoin") < plan.rindex("partial_sum")
+    assert "SortAggregate" not in inspect.aggregate_strategies(registry.borough(spark, sf_small))
+
+
+def test_size_report_reads_only_the_written_pre_aggregate(spark, sf_small):
+    plan = inspect.executed_plan(registry.compression_report_q(spark, sf_small))
+    assert "/raw" not in plan and "fixture" not in plan.replace("zones_csv", "").split("cube-")[0]
+
+
+@pytest.mark.parametrize("name", ["latest_period", "period_sequence", "missing_periods", "periods"])
+def test_months_come_from_a_listing(spark, sf_small, name):
+    assert "FileScan" not in inspect.executed_plan(QUERIES[name](spark, sf_small))
+
+
 def test_zone_mart_is_hash_aggregated_before_names(spark, sf_small):
     df = registry.zone_mart(spark, sf_small)
     aggs = inspect.aggregate_strategies(df)

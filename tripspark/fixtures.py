@@ -10,16 +10,15 @@ scan too), and re-used by every query afterwards.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripspark.schemas import RAW, ZONE
-from tripspark.session import path_exists, scratch_root
+from tripspark.session import path_exists, path_stamp, same_path, scratch_root
 
-FIXTURE_VERSION = "v2"
+FIXTURE_VERSION = "v3"
 _LOCK = threading.Lock()  # one landing at a time if queries run on several threads
 
 
@@ -84,8 +83,10 @@ def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("tt").alias("trip_time"),
         F.when(k % 61 == 0, F.lit(-5.0)).when(k % 67 == 0, F.lit(20000.0))
          .when(k % 83 == 0, null.cast("double"))
-         .otherwise(F.floor("l_extendedprice") / 100.0).alias("base_passenger_fare"),
-        (F.col("l_discount") * 10.0).alias("tolls"),
+         .otherwise(F.floor("l_extendedprice") / 100.0 + F.lit(0.003)).alias("base_passenger_fare"),
+        # tenths of a cent, away from half cents: summing before rounding gives other
+        # totals than rounding before summing
+        (F.col("l_discount") * 10.0 + F.lit(0.003)).alias("tolls"),
         (F.col("l_tax") * 5.0).alias("bcf"),
         (F.col("l_tax") * 20.0).alias("sales_tax"),
         F.when(k % 13 == 0, null.cast("double")).otherwise(F.lit(2.75)).alias("congestion_surcharge"),
@@ -114,21 +115,17 @@ def zone_view(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("SZ_"), (F.col("n_regionkey") % 3).cast("string")).alias("service_zone")))
 
 
-def _fingerprint(sf_dir: str) -> str:
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     h = hashlib.sha1(FIXTURE_VERSION.encode())
-    h.update(os.path.abspath(sf_dir).encode())
+    h.update(same_path(spark, sf_dir).encode())
     for name in ("lineitem", "orders", "supplier", "customer", "nation", "region"):
-        p = f"{sf_dir}/{name}.parquet"
-        try:
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(name.encode())
+        size, changed = path_stamp(spark, f"{sf_dir}/{name}.parquet")
+        h.update(f"{name}:{size}:{changed}".encode())
     return h.hexdigest()[:16]
 
 
 def fixture_dir(spark: SparkSession, sf_dir: str) -> str:
-    return f"{scratch_root(spark)}/tripspark-fixture-{_fingerprint(sf_dir)}"
+    return f"{scratch_root(spark)}/tripspark-fixture-{_fingerprint(spark, sf_dir)}"
 
 
 def raw_path(spark: SparkSession, sf_dir: str) -> str:
@@ -142,6 +139,25 @@ def raw_path(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+#: Extra raw column of ``raw_cbd_path`` and the first year that has it.
+CBD_COLUMN, CBD_FROM_YEAR = "cbd_congestion_fee", 1997
+
+
+def raw_cbd_path(spark: SparkSession, sf_dir: str) -> str:
+    """The raw trips landed again with a congestion fee in the files of later years only."""
+    from tripspark.sinks.writers import land
+
+    source, path = raw_path(spark, sf_dir), f"{fixture_dir(spark, sf_dir)}/raw_cbd"
+    with _LOCK:
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            raw = spark.read.schema(RAW).parquet(source)
+            t = F.col("trip_time")
+            fee = F.when(t % 7 == 0, F.lit(None)).when(t % 3 == 0, F.lit(0.753)).otherwise(F.lit(1.5)).cast("double")
+            land(raw.filter(F.col("year") >= CBD_FROM_YEAR).withColumn(CBD_COLUMN, fee), path, dynamic=False)
+            land(raw.filter(F.col("year") < CBD_FROM_YEAR), path, mode="append")
+    return path
+
+
 def zone_csv_path(spark: SparkSession, sf_dir: str) -> str:
     """Zone lookup as CSV with header, like the reference's lookup file."""
     path = f"{fixture_dir(spark, sf_dir)}/zones_csv"

@@ -12,12 +12,13 @@ from tripspark.schemas import CURATED, FLAG_COLUMNS, MONEY, RAW_MONEY_COLUMNS
 
 
 def curate(raw: DataFrame, processed_at: _dt.datetime | Column | None = None,
-           cbd_column: str | None = None) -> DataFrame:
+           cbd_column: str | None = None, passthrough: tuple[str, ...] = ()) -> DataFrame:
     """Raw trips -> the 38 curated columns, one Project node, no UDF.
 
     ``processed_at`` fixes ``processing_timestamp`` (default: query start
     time). ``cbd_column`` takes the congestion fee from that raw column if
-    given; by default the fee is 0, as in the reference.
+    given; by default the fee is 0, as in the reference. Columns named in
+    ``passthrough`` follow unchanged.
     """
     pickup = E.ts("pickup_datetime")
     trip_time = F.col("trip_time")
@@ -58,8 +59,8 @@ def curate(raw: DataFrame, processed_at: _dt.datetime | Column | None = None,
         F.dayofmonth(pickup).alias("day"),
         stamp.cast("timestamp").alias("processing_timestamp"),
     ]
-    out = raw.select(*cols)
-    assert out.columns == CURATED.fieldNames(), out.columns
+    out = raw.select(*cols, *passthrough)
+    assert out.columns == [*CURATED.fieldNames(), *passthrough], out.columns
     return out
 
 

@@ -1,9 +1,11 @@
 """Month-based landing operators (L1-L5, L7), re-aimed from the reference's
 download script onto an already mounted ``year=/month=`` landing folder.
 
-Periods are a calendar (bounded by the number of months, not by data volume).
-Selections filter on the partition columns only, so the scans are pruned to
-the chosen month directories.
+Periods are a calendar (bounded by the number of months, not by data volume)
+and come from a directory listing: a month counts as landed if its folder holds a
+file, whatever is in it, and no data file is opened to find out. Selections
+filter on the partition columns only, so the scans are pruned to the chosen
+month directories.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripspark.session import list_files, write_text
 from tripspark.sources.readers import read_raw
 
 # Fixed values of the landing rules: the first full year landed in mode
@@ -35,16 +38,25 @@ def periods(spark: SparkSession, start_year: int, start_month: int, n: int) -> D
     return periods_between(spark.range(1), start, F.add_months(start, n - 1))
 
 
-def landed_periods(raw: DataFrame) -> DataFrame:
-    """Distinct (year, month) present in a landed table (partition columns only)."""
-    return raw.select("year", "month").distinct()
+MONTH_KEYS = ("year", "month")
 
 
-def period_range(raw: DataFrame) -> DataFrame:
+def landed_files(spark: SparkSession, path: str) -> DataFrame:
+    """(year, month, file_path, file_size) of the landed data files, from a listing."""
+    rows = [(y, m, name, size) for (y, m), name, size in list_files(spark, path, MONTH_KEYS)]
+    return spark.createDataFrame(rows, "year int, month int, file_path string, file_size bigint")
+
+
+def landed_periods(spark: SparkSession, path: str) -> DataFrame:
+    """(year, month) of the landed months, from a listing."""
+    months = sorted({ym for ym, _, _ in list_files(spark, path, MONTH_KEYS)})
+    return spark.createDataFrame(months, "year int, month int")
+
+
+def period_range(landed: DataFrame) -> DataFrame:
     """All months from the first to the last landed month."""
-    first = F.make_date("year", "month", F.lit(1))
-    bounds = raw.agg(F.min(first).alias("lo"), F.max(first).alias("hi"))
-    return periods_between(bounds, F.col("lo"), F.col("hi"))
+    bounds = landed.agg(F.min(F.struct("year", "month")).alias("lo"), F.max(F.struct("year", "month")).alias("hi"))
+    return periods_between(bounds, *[F.make_date(f"{p}.year", f"{p}.month", F.lit(1)) for p in ("lo", "hi")])
 
 
 def latest_period(landed: DataFrame, as_of: _dt.date | None = None) -> DataFrame:
@@ -102,47 +114,63 @@ def missing_periods(wanted: DataFrame, landed: DataFrame) -> DataFrame:
     return wanted.join(landed.select("year", "month"), ["year", "month"], "left_anti")
 
 
-def landing_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Per landed month — file count, bytes, GB and rows, from file metadata.
+def month_row_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of each landed month, 0 for months whose files are empty."""
+    counts = read_raw(spark, path).groupBy("year", "month").agg(F.count(F.lit(1)).alias("row_count"))
+    return (landed_periods(spark, path).join(counts, ["year", "month"], "left")
+            .select("year", "month", F.format_string("%04d-%02d", "year", "month").alias("period"),
+                    F.coalesce("row_count", F.lit(0).cast("bigint")).alias("row_count")))
 
-    Files are first reduced to one row each (partial aggregation per task),
-    then to one row per month.
-    """
-    from tripspark.schemas import RAW
-
-    files = (spark.read.schema(RAW).parquet(path)
-             .select("year", "month", F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.file_size").alias("file_size"))
-             .groupBy("year", "month", "file_path", "file_size").agg(F.count(F.lit(1)).alias("rows")))
-    return (files.groupBy("year", "month")
-            .agg(F.count(F.lit(1)).alias("file_count"),
-                 F.sum("file_size").alias("total_bytes"),
-                 F.sum("rows").alias("row_count"))
+
+def landing_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Per landed month — file count and bytes from the listing, rows from the files."""
+    sizes = (landed_files(spark, path).groupBy("year", "month")
+             .agg(F.count(F.lit(1)).alias("file_count"), F.sum("file_size").alias("total_bytes")))
+    return (sizes.join(month_row_counts(spark, path), ["year", "month"])
             .withColumn("total_size_gb", F.round(F.col("total_bytes") / F.lit(1024.0 ** 3), 2))
-            .withColumn("period", F.format_string("%04d-%02d", "year", "month")))
+            .select("year", "month", "file_count", "total_bytes", "row_count", "total_size_gb", "period"))
+
+
+# Fixed values of the landing marker.
+PUBLICATION_DELAY_MONTHS = 2
+MARKER_NAME = "ingestion.done"
 
 
 def manifest_record(manifest: DataFrame, job_type: str, latest: tuple[int, int],
-                    trip_types: list[str] | None = None) -> DataFrame:
-    """The landing marker: one row summarising a landing run."""
-    period = f"{latest[0]:04d}-{latest[1]:02d}"
-    return manifest.agg(
+                    trip_types: list[str] | None = None, job_run_id: str = "unknown",
+                    duplicate_files_skipped: int = 0) -> DataFrame:
+    """The landing marker: one row summarising a landing run.
+
+    ``data_period`` is the first month of the manifest, ``data_period_end`` its
+    last one (the manifest lists what the run landed); the newest month that
+    exists is ``latest_available_month``.
+    """
+    total = manifest.agg(
         F.sum("file_count").alias("total_files"),
         F.round(F.sum("total_bytes") / F.lit(1024.0 ** 3), 2).alias("total_size_gb"),
         F.sum("row_count").alias("total_rows"),
-    ).select(
+        F.min("period").alias("first"), F.max("period").alias("last"))
+    files = F.coalesce("total_files", F.lit(0))
+    return total.select(
         F.current_timestamp().alias("ingestion_date"),
         F.lit(job_type).alias("job_type"),
-        F.lit(period).alias("data_period"),
+        F.coalesce("first", F.lit("unknown")).alias("data_period"),
+        F.coalesce("last", F.lit("unknown")).alias("data_period_end"),
         F.array(*[F.lit(t) for t in (trip_types or DEFAULT_TRIP_TYPES)]).alias("taxi_types"),
-        F.coalesce("total_files", F.lit(0)).alias("total_files"),
+        files.alias("total_files"),
         F.coalesce("total_size_gb", F.lit(0.0)).alias("total_size_gb"),
         F.coalesce("total_rows", F.lit(0)).alias("total_rows"),
-        F.lit(period).alias("latest_available_month"),
-        F.when(F.coalesce("total_files", F.lit(0)) > 0, F.lit("SUCCESS")).otherwise(F.lit("EMPTY")).alias("status"),
+        F.lit(job_run_id).alias("job_run_id"),
+        F.lit(f"{latest[0]:04d}-{latest[1]:02d}").alias("latest_available_month"),
+        F.lit(PUBLICATION_DELAY_MONTHS).alias("publication_delay_months"),
+        F.lit(duplicate_files_skipped).alias("duplicate_files_skipped"),
+        F.when(files > 0, F.lit("SUCCESS")).otherwise(F.lit("EMPTY")).alias("status"),
     )
 
 
-def write_manifest(record: DataFrame, path: str) -> None:
-    """Write the one-row marker as JSON (a single row, so a single file)."""
-    record.coalesce(1).write.mode("overwrite").json(path)
+def write_manifest(record: DataFrame, folder: str) -> str:
+    """Write the one-row marker as ``folder/ingestion.done`` (JSON), which later steps can
+    wait for; returns its path."""
+    path = f"{folder}/{MARKER_NAME}"
+    write_text(record.sparkSession, path, record.toJSON().first())
+    return path

@@ -8,7 +8,7 @@ third of all trips still moves only one buffer row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripspark.operators.enrich import BROADCAST_ZONE_ROWS, join_zone_names
@@ -182,26 +182,23 @@ def service_from_cube(cube: DataFrame) -> DataFrame:
     return _date_parts(agg)
 
 
-def compression_report(curated: DataFrame, borough: DataFrame, zone: DataFrame,
+def compression_report(cube: DataFrame, borough: DataFrame, zone: DataFrame,
                        service: DataFrame) -> DataFrame:
     """Rows of each mart and their share of the curated rows (percent).
 
-    One job: the four inputs are tagged, unioned and counted by tag in a
-    single global aggregate, then unpivoted to one row per table.
+    ``cube`` is the daily pre-aggregate that the marts were made of; its trip
+    counts add up to the curated rows, so the trips are not read again. Each
+    table is counted by one aggregate with one row per task in its shuffle.
     """
-    tables = {"curated": curated, "daily_borough": borough, "daily_zone": zone,
-              "daily_service": service}
-    tagged = None
-    for name, df in tables.items():
-        part = df.select(F.lit(name).alias("table_name"))
-        tagged = part if tagged is None else tagged.unionByName(part)
-    wide = tagged.agg(*[F.count_if(F.col("table_name") == name).alias(name) for name in tables])
-    long = wide.select(F.col("curated").alias("__curated"), F.inline(F.array(*[
-        F.struct(F.lit(name).alias("table_name"), F.col(name).alias("row_count")) for name in tables])))
-    return long.select(
+    trips = cube.agg(F.coalesce(F.sum("trip_count"), F.lit(0)).alias("row_count"))
+    counted = trips.select(F.lit("curated").alias("table_name"), "row_count")
+    for name, df in {"daily_borough": borough, "daily_zone": zone, "daily_service": service}.items():
+        counted = counted.unionByName(df.agg(F.count(F.lit(1)).alias("row_count"))
+                                      .select(F.lit(name).alias("table_name"), "row_count"))
+    base = F.max(F.when(F.col("table_name") == "curated", F.col("row_count"))).over(Window.partitionBy(F.lit(0)))
+    return counted.select(
         "table_name", "row_count",
-        (F.try_divide(F.col("row_count").cast("double"), F.col("__curated").cast("double"))
-         * F.lit(100.0)).alias("pct_of_curated"))
+        (F.try_divide(F.col("row_count").cast("double"), base.cast("double")) * F.lit(100.0)).alias("pct_of_curated"))
 
 
 def _top(df: DataFrame, n: int, order: list[Column]) -> DataFrame:

@@ -29,8 +29,8 @@ RAW = """raw AS (
     CASE WHEN k % 47 = 0 THEN NULL WHEN k % 53 = 0 THEN 600e0 ELSE l_quantity * 37e0 / 100e0 END AS trip_miles,
     CAST(tt AS BIGINT) AS trip_time,
     CASE WHEN k % 61 = 0 THEN -5e0 WHEN k % 67 = 0 THEN 20000e0 WHEN k % 83 = 0 THEN NULL
-         ELSE floor(l_extendedprice) / 100e0 END AS base_passenger_fare,
-    l_discount * 10e0 AS tolls,
+         ELSE floor(l_extendedprice) / 100e0 + 0.003e0 END AS base_passenger_fare,
+    l_discount * 10e0 + 0.003e0 AS tolls,
     l_tax * 5e0 AS bcf,
     l_tax * 20e0 AS sales_tax,
     CASE WHEN k % 13 = 0 THEN NULL ELSE 2.75e0 END AS congestion_surcharge,
@@ -326,6 +326,17 @@ FROM (SELECT trip_date, CAST(sum(trip_count) AS BIGINT) AS trip_count,
              CAST(sum(CASE WHEN wav_request_flag THEN trip_count ELSE 0 END) AS BIGINT) AS wav_requests,
              CAST(sum(wav_matched_count) AS BIGINT) AS wav_matched
       FROM service GROUP BY trip_date) s""")
+    cbd = "CASE WHEN year < 1997 OR trip_time % 7 = 0 THEN NULL WHEN trip_time % 3 = 0 THEN 0.753e0 ELSE 1.5e0 END"
+    with_fee = RAW.replace("raw AS (", "raw0 AS (", 1) + f",\nraw AS (SELECT *, {cbd} AS cbd_fee FROM raw0)"
+    curated_fee = (CURATED.replace("CAST(0 AS DECIMAL(10,2)) AS cbd_congestion_fee", f"{_m('cbd_fee')} AS cbd_congestion_fee")
+                   .replace("+ 0e0", f"+ {_z('cbd_fee')}"))
+    q["curate_trips_cbd"] = f"WITH {with_fee},\n{curated_fee}\nSELECT * FROM curated"
+    n = len(RAW_COLUMNS) - 2
+    q["column_profile_files"] = f"WITH {with_fee}\n" + "\nUNION ALL\n".join(
+        f"SELECT {i} AS ordinal, '{name}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count, "
+        f"CAST(count_if({c} IS NULL) AS DOUBLE) / CAST(count(*) AS DOUBLE) * 100e0 AS null_pct FROM raw"
+        for i, (name, c) in enumerate([*[(c, c) for c in RAW_COLUMNS[:n]], ("cbd_congestion_fee", "cbd_fee"),
+                                       *[(c, c) for c in RAW_COLUMNS[n:]]]))
     # Round trips through the partitioned sinks equal the tables themselves.
     q["curated_roundtrip"] = q["validate_trips"]
     q["borough_roundtrip"] = q["daily_borough"]
@@ -335,7 +346,22 @@ FROM (SELECT trip_date, CAST(sum(trip_count) AS BIGINT) AS trip_count,
     q["catalog_repair"] = _with("raw", """
 SELECT DISTINCT 'year=' || CAST(year AS VARCHAR) || '/month=' || lpad(CAST(month AS VARCHAR), 2, '0') AS partition
 FROM raw""")
+    # Pipelines.
+    q["landed_roundtrip"] = q["raw_scan"]
+    q["pipeline_curated"] = q["validate_trips"]
+    q["pipeline_metrics"] = q["validation_metrics"]
+    q["pipeline_borough"], q["pipeline_zone"], q["pipeline_service"] = q["daily_borough"], q["daily_zone"], q["daily_service"]
+    q["pipeline_counts"] = f"SELECT table_name, row_count FROM ({q['compression_report']}) r"
     # Landing operators.
+    q["has_rows"] = _with("raw", """
+SELECT CAST(y AS INTEGER) AS year, EXISTS (SELECT 1 FROM raw WHERE year = y) AS has_rows
+FROM (SELECT unnest(generate_series(min(year) - 1, max(year) + 1)) AS y FROM raw) s""")
+    q["periods"] = _with("landing", """
+SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, strftime(d, '%Y-%m') AS period
+FROM (SELECT unnest(generate_series(hi, hi + to_months(CAST(n - 1 AS INTEGER)), INTERVAL 1 MONTH)) AS d
+      FROM (SELECT max(make_date(year, month, 1)) AS hi, count(*) AS n FROM periods) b) s""")
+    q["landing_row_counts"] = _with("raw", """
+SELECT year, month, printf('%04d-%02d', year, month) AS period, count(*) AS row_count FROM raw GROUP BY year, month""")
     q["period_sequence"] = _with("raw", """
 SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, strftime(d, '%Y-%m') AS period
 FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS d
@@ -356,4 +382,7 @@ WHERE NOT EXISTS (SELECT 1 FROM periods p WHERE p.year = year(w.d) AND p.month =
     q["incremental_borough"] = q["daily_borough"]
     q["incremental_zone"] = q["daily_zone"]
     q["incremental_service"] = q["daily_service"]
+    q["incremental_late_mtime"] = q["validate_trips"]
+    q["incremental_rebuild"] = q["daily_service"]
+    q["incremental_refresh"] = q["daily_borough"]
     return q

@@ -9,9 +9,10 @@ folder under the shared scratch root and return the re-read table.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as _dt
+import hashlib
 import threading
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,19 +22,21 @@ from tripspark import fixtures, oracle
 from tripspark.operators import landing
 from tripspark.operators.curate import curate, preview
 from tripspark.operators.enrich import enrich
-from tripspark.operators.marts import (borough_from_cube, compression_report, daily_borough, daily_cube,
-                                       daily_service, daily_zone, service_from_cube, service_match_rate,
+from tripspark.operators.marts import (borough_from_cube, compression_report, daily_cube, daily_service,
+                                       daily_zone, service_from_cube, service_match_rate,
                                        service_ordered, top_boroughs, top_routes, weekend_revenue,
                                        zone_from_cube)
 from tripspark.operators.quality import (column_profile, dataset_overview, license_distribution, rejected,
                                          rejects_by_rule, validate, validation_metrics)
-from tripspark.schemas import DAILY_BOROUGH, DAILY_SERVICE, DAILY_ZONE
-from tripspark.session import new_scratch_dir
+from tripspark.plans import pipelines
+from tripspark.schemas import DAILY_BOROUGH, DAILY_CUBE, DAILY_SERVICE, DAILY_ZONE
+from tripspark.session import list_files, new_scratch_dir, set_modification_time
 from tripspark.sinks.writers import (land, write_curated, write_daily_borough, write_daily_service,
                                      write_daily_zone)
-from tripspark.sources.readers import (check_zones, create_external_raw_table, read_curated, read_mart,
+from tripspark.sources.readers import (check_zones, create_external_raw_table, has_rows, read_curated, read_mart,
                                        read_raw, read_table, read_zones, repair_partitions)
-from tripspark.streaming.incremental import IncrementalPipeline, read_incremental_curated
+from tripspark.streaming.incremental import (IncrementalPipeline, StreamIdentityError,
+                                             read_incremental_curated)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,7 +68,9 @@ def enriched(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def borough(spark: SparkSession, sf: str) -> DataFrame:
-    return daily_borough(enriched(spark, sf))
+    """A1, ids first: trips are aggregated on numeric ids, and only the groups get names."""
+    z, n = zones(spark, sf)
+    return borough_from_cube(daily_cube(valid(spark, sf)), z, n)
 
 
 def zone_mart(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,16 +79,16 @@ def zone_mart(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def service(spark: SparkSession, sf: str) -> DataFrame:
-    return daily_service(enriched(spark, sf))
+    return daily_service(valid(spark, sf))
 
 
 def compression_report_q(spark: SparkSession, sf: str) -> DataFrame:
-    """A7 with the marts derived from one daily pre-aggregate (its shuffle is
-    planned once and reused by the three marts)."""
+    """A7 from one written daily pre-aggregate: the raw trips are scanned once."""
     z, n = zones(spark, sf)
-    v = valid(spark, sf)
-    cube = daily_cube(v)
-    return compression_report(v, borough_from_cube(cube, z, n), zone_from_cube(cube, z, n),
+    path = new_scratch_dir(spark, "cube")
+    daily_cube(valid(spark, sf)).write.parquet(path)
+    cube = spark.read.schema(DAILY_CUBE).parquet(path)
+    return compression_report(cube, borough_from_cube(cube, z, n), zone_from_cube(cube, z, n),
                               service_from_cube(cube))
 
 
@@ -103,12 +108,65 @@ def _mart_roundtrip(build, write, schema) -> Query:
     return q
 
 
+def landed_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw trips landed in two steps, the last year again, then read."""
+    path = new_scratch_dir(spark, "landed")
+    r = raw(spark, sf)
+    last = r.agg(F.max("year")).first()[0]
+    land(r, path, dynamic=False)
+    land(r.filter(F.col("year") == last), path)
+    return read_raw(spark, path)
+
+
+# -- pipelines ------------------------------------------------------------------
+
+def _c1(spark: SparkSession, sf: str) -> tuple[str, dict[str, object]]:
+    path = new_scratch_dir(spark, "pipeline")
+    metrics = pipelines.raw_to_curated(spark, fixtures.raw_path(spark, sf), f"{path}/curated", processed_at=processed_at())
+    return path, metrics
+
+
+def pipeline_curated(spark: SparkSession, sf: str) -> DataFrame:
+    return read_curated(spark, f"{_c1(spark, sf)[0]}/curated")
+
+
+def pipeline_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    m = _c1(spark, sf)[1]
+    names = ("initial_count", "valid_count", "rejected_count", "rejection_rate_pct")
+    return spark.createDataFrame([tuple(m[n] for n in names)],
+                                 "initial_count bigint, valid_count bigint, rejected_count bigint, rejection_rate_pct double")
+
+
+def _c2(spark: SparkSession, sf: str) -> tuple[str, dict[str, int]]:
+    path, _ = _c1(spark, sf)
+    return path, pipelines.curated_to_aggregated(spark, f"{path}/curated", fixtures.zone_csv_path(spark, sf), path)
+
+
+def _pipeline_mart(name: str, schema) -> Query:
+    return lambda spark, sf: read_mart(spark, f"{_c2(spark, sf)[0]}/{name}", schema)
+
+
+def pipeline_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return spark.createDataFrame(sorted(_c2(spark, sf)[1].items()), "table_name string, row_count bigint")
+
+
+def has_rows_q(spark: SparkSession, sf: str) -> DataFrame:
+    """S8 for each year of a window around the data: whether it has landed trips."""
+    r = raw(spark, sf)
+    b = r.agg(F.min("year").alias("lo"), F.max("year").alias("hi")).first()
+    years = range(b["lo"] - 1, b["hi"] + 2)  # bounded by the calendar
+    return spark.createDataFrame([(y, has_rows(r.filter(F.col("year") == y))) for y in years], "year int, has_rows boolean")
+
+
 # -- catalog --------------------------------------------------------------------
 
 def _external_raw_table(spark: SparkSession, sf: str) -> str:
-    name = f"raw_trips_{uuid.uuid4().hex[:10]}"
-    create_external_raw_table(spark, name, fixtures.raw_path(spark, sf))
-    repair_partitions(spark, name)
+    """One catalog table for each landed fixture, made on first use."""
+    path = fixtures.raw_path(spark, sf)
+    name = f"raw_trips_{hashlib.sha1(path.encode()).hexdigest()[:10]}"
+    create_external_raw_table(spark, name, path)
+    if not repair_partitions(spark, name):
+        raise RuntimeError(f"partitions of {name} could not be registered")
     return name
 
 
@@ -125,16 +183,26 @@ def catalog_repair(spark: SparkSession, sf: str) -> DataFrame:
 AS_OF = _dt.date.fromisoformat(oracle.AS_OF)
 
 
+def landed(spark: SparkSession, sf: str) -> DataFrame:
+    return landing.landed_periods(spark, fixtures.raw_path(spark, sf))
+
+
+def periods_q(spark: SparkSession, sf: str) -> DataFrame:
+    """L1: as many consecutive months as have landed, from the last landed one on."""
+    b = landed(spark, sf).agg(F.max(F.struct("year", "month")).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    return landing.periods(spark, b["hi"]["year"], b["hi"]["month"], b["n"])
+
+
 def _latest(spark: SparkSession, sf: str) -> tuple[int, int]:
-    return landing.resolve_latest(landing.landed_periods(raw(spark, sf)), AS_OF)
+    return landing.resolve_latest(landed(spark, sf), AS_OF)
 
 
 def missing_periods_q(spark: SparkSession, sf: str) -> DataFrame:
-    landed = landing.landed_periods(raw(spark, sf))
-    bounds = landed.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
+    have = landed(spark, sf)
+    bounds = have.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
     wanted = landing.periods_between(bounds, F.make_date("lo", F.lit(1), F.lit(1)),
                                      F.make_date(F.col("hi") + 1, F.lit(12), F.lit(1)))
-    return landing.missing_periods(wanted, landed)
+    return landing.missing_periods(wanted, have)
 
 
 # -- incremental ------------------------------------------------------------------
@@ -173,6 +241,56 @@ def incremental_run(spark: SparkSession, sf: str) -> IncrementalPipeline:
         return _INCREMENTAL[key]
 
 
+def _fresh_pipeline(spark: SparkSession, sf: str) -> IncrementalPipeline:
+    return IncrementalPipeline(spark, new_scratch_dir(spark, "incr-landing"), fixtures.zone_csv_path(spark, sf),
+                               new_scratch_dir(spark, "incr-out"), new_scratch_dir(spark, "incr-ckpt"),
+                               processed_at=processed_at())
+
+
+def incremental_late_mtime(spark: SparkSession, sf: str) -> DataFrame:
+    """The second landing's files claim to be a year older than the first one's."""
+    pipe, parts = _fresh_pipeline(spark, sf), incremental_pieces(raw(spark, sf))
+    land(parts[0], pipe.raw_path, mode="append")
+    pipe.run()
+    known = {name for _, name, _ in list_files(spark, pipe.raw_path, landing.MONTH_KEYS)}
+    land(parts[1].unionByName(parts[2]), pipe.raw_path, mode="append")
+    for _, name, _ in list_files(spark, pipe.raw_path, landing.MONTH_KEYS):
+        if name not in known:
+            set_modification_time(spark, name, _dt.datetime.now() - _dt.timedelta(days=365))
+    pipe.run()
+    return read_incremental_curated(spark, pipe.curated_path)
+
+
+def incremental_rebuild(spark: SparkSession, sf: str) -> DataFrame:
+    """A fresh checkpoint on existing tables is refused; a rebuild with it gives each row once."""
+    pipe, parts = _fresh_pipeline(spark, sf), incremental_pieces(raw(spark, sf))
+    for p in parts:
+        land(p, pipe.raw_path, mode="append")
+    pipe.run()
+    again = dataclasses.replace(pipe, checkpoint=new_scratch_dir(spark, "incr-ckpt"), batches=[])
+    try:
+        again.run()
+    except StreamIdentityError:
+        again.rebuild()
+    else:
+        raise AssertionError("a foreign checkpoint was accepted")
+    return read_mart(spark, again.service_path, DAILY_SERVICE)
+
+
+def incremental_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest year is landed with part of its rows first, then again in full, and the folders
+    are merged: borough mart."""
+    pipe, r = _fresh_pipeline(spark, sf), raw(spark, sf)
+    last = r.agg(F.max("year")).first()[0]
+    partial = F.pmod(F.xxhash64(*r.columns), F.lit(3)) > 0
+    land(r.filter((F.col("year") < last) | partial), pipe.raw_path, mode="append")
+    pipe.run()
+    land(r.filter(F.col("year") == last), pipe.raw_path)
+    pipe.run()
+    pipe.compact()
+    return read_mart(spark, pipe.borough_path, DAILY_BOROUGH)
+
+
 def _incremental_mart(attr: str, schema) -> Query:
     def q(spark: SparkSession, sf: str) -> DataFrame:
         return read_mart(spark, getattr(incremental_run(spark, sf), attr), schema)
@@ -190,6 +308,10 @@ def queries() -> dict[str, Query]:
         "catalog_repair": catalog_repair,
         # projection / validation / quality
         "curate_trips": curated,
+        "curate_trips_cbd": lambda s, sf: curate(
+            read_raw(s, fixtures.raw_cbd_path(s, sf), extra={fixtures.CBD_COLUMN: "double"}),
+            processed_at=processed_at(), cbd_column=fixtures.CBD_COLUMN),
+        "column_profile_files": lambda s, sf: pipelines.profile_raw(s, fixtures.raw_cbd_path(s, sf))["column_profile"],
         "validate_trips": valid,
         "curated_preview": lambda s, sf: preview(valid(s, sf)),
         "validation_metrics": lambda s, sf: validation_metrics(curated(s, sf)),
@@ -214,9 +336,19 @@ def queries() -> dict[str, Query]:
         "borough_roundtrip": _mart_roundtrip(borough, write_daily_borough, DAILY_BOROUGH),
         "zone_roundtrip": _mart_roundtrip(zone_mart, write_daily_zone, DAILY_ZONE),
         "service_roundtrip": _mart_roundtrip(service, write_daily_service, DAILY_SERVICE),
+        "landed_roundtrip": landed_roundtrip,
+        # pipelines
+        "pipeline_curated": pipeline_curated,
+        "pipeline_metrics": pipeline_metrics,
+        "pipeline_counts": pipeline_counts,
+        "pipeline_borough": _pipeline_mart("daily_borough", DAILY_BOROUGH),
+        "pipeline_zone": _pipeline_mart("daily_zone", DAILY_ZONE),
+        "pipeline_service": _pipeline_mart("daily_service", DAILY_SERVICE),
         # landing
-        "period_sequence": lambda s, sf: landing.period_range(raw(s, sf)),
-        "latest_period": lambda s, sf: landing.latest_period(landing.landed_periods(raw(s, sf)), AS_OF),
+        "has_rows": has_rows_q,
+        "periods": periods_q,
+        "period_sequence": lambda s, sf: landing.period_range(landed(s, sf)),
+        "latest_period": lambda s, sf: landing.latest_period(landed(s, sf), AS_OF),
         "current_month_trips": lambda s, sf: landing.select_current(s, fixtures.raw_path(s, sf),
                                                                     _latest(s, sf)),
         "historical_trips": lambda s, sf: landing.select_historical(raw(s, sf), _latest(s, sf),
@@ -225,11 +357,15 @@ def queries() -> dict[str, Query]:
             raw(s, sf), _latest(s, sf), oracle.HISTORY_BASE_YEAR, strict_reference=True),
         "missing_periods": missing_periods_q,
         "landing_manifest": lambda s, sf: landing.landing_manifest(s, fixtures.raw_path(s, sf)),
+        "landing_row_counts": lambda s, sf: landing.month_row_counts(s, fixtures.raw_path(s, sf)),
         # incremental (stream in three landings) == batch
         "incremental_curate": lambda s, sf: read_incremental_curated(s, incremental_run(s, sf).curated_path),
         "incremental_borough": _incremental_mart("borough_path", DAILY_BOROUGH),
         "incremental_zone": _incremental_mart("zone_path", DAILY_ZONE),
         "incremental_service": _incremental_mart("service_path", DAILY_SERVICE),
+        "incremental_late_mtime": incremental_late_mtime,
+        "incremental_rebuild": incremental_rebuild,
+        "incremental_refresh": incremental_refresh,
     }
     return {name: _in_utc(f) for name, f in q.items()}
 

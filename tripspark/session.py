@@ -8,6 +8,7 @@ do we create one of our own.
 
 from __future__ import annotations
 
+import datetime as _dt
 import tempfile
 import uuid
 
@@ -78,7 +79,7 @@ def scratch_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="tripspark-ckpt-")
     spark.sparkContext.setCheckpointDir(root)
@@ -102,3 +103,81 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop FileSystem (works for any scheme)."""
     fs, p = _hadoop_path(spark, path)
     return bool(fs.exists(p))
+
+
+def path_stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(bytes, modification time) of a file or folder, through the Hadoop FileSystem."""
+    fs, p = _hadoop_path(spark, path)
+    newest = max([fs.getFileStatus(p).getModificationTime()]
+                 + [f.getModificationTime() for f in fs.listStatus(p)])
+    return int(fs.getContentSummary(p).getLength()), int(newest)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder if it is there."""
+    fs, p = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def set_modification_time(spark: SparkSession, path: str, when: _dt.datetime) -> None:
+    fs, p = _hadoop_path(spark, path)
+    fs.setTimes(p, int(when.timestamp() * 1000), -1)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Contents of a small text file; None if it is not there."""
+    fs, p = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file, replacing it."""
+    fs, p = _hadoop_path(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def same_path(spark: SparkSession, path: str) -> str:
+    """One spelling of a path: scheme and authority added, no trailing slash."""
+    fs, p = _hadoop_path(spark, path)
+    return str(fs.makeQualified(p).toString()).rstrip("/")
+
+
+def list_partitions(spark: SparkSession, path: str, keys: tuple[str, ...], inside: str = "") -> list[tuple[int, ...]]:
+    """Values of integer partition folders ``k1=v1/k2=v2/...`` under ``path`` (those that
+    hold a folder ``inside``, if given), from a directory listing on the driver: no file is
+    opened. Bounded by the calendar."""
+    fs, p = _hadoop_path(spark, "/".join([path, *[f"{k}=*" for k in keys], *([inside] if inside else [])]))
+    out = set()
+    for status in fs.globStatus(p) or []:
+        parts = str(status.getPath().toString()).split("/")
+        parts = parts[:-1] if inside else parts
+        out.add(tuple(int(x.split("=", 1)[1]) for x in parts[-len(keys):]))
+    return sorted(out)
+
+
+def list_files(spark: SparkSession, path: str, keys: tuple[str, ...],
+               only: set[tuple[int, ...]] | None = None) -> list[tuple[tuple[int, ...], str, int]]:
+    """(partition values, file path, bytes) of the data files in integer partition
+    folders, all of them or those whose values are in ``only``."""
+    fs, p = _hadoop_path(spark, "/".join([path, *[f"{k}=*" for k in keys]]))
+    out = []
+    for folder in fs.globStatus(p) or []:
+        parts = str(folder.getPath().toString()).split("/")[-len(keys):]
+        values = tuple(int(x.split("=", 1)[1]) for x in parts)
+        if only is not None and values not in only:
+            continue
+        for status in fs.listStatus(folder.getPath()):
+            name = str(status.getPath().getName())
+            if status.isFile() and not name.startswith(("_", ".")):
+                out.append((values, str(status.getPath().toString()), int(status.getLen())))
+    return sorted(out)

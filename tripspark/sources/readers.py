@@ -6,20 +6,40 @@ can push filters and prune columns/partitions from the start.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripspark.schemas import CURATED, RAW, ZONE
 
+log = logging.getLogger(__name__)
+
+
+def raw_schema(extra: dict[str, str] | None = None) -> StructType:
+    """The declared raw schema with further data columns (name -> type) before the partition columns."""
+    added = StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t in extra.items())).fields if extra else []
+    return StructType([*RAW.fields[:-2], *added, *RAW.fields[-2:]])
+
+
+def file_columns(spark: SparkSession, path: str) -> dict[str, str]:
+    """Data columns that the landed files have beyond the declared ones, over all files
+    (name -> type). Reads the footers of all files in one job; for reports and set-up."""
+    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    return {f.name: f.dataType.simpleString() for f in found.fields if f.name not in RAW.fieldNames()}
+
 
 def read_raw(spark: SparkSession, path: str, year: int | None = None,
-             month: int | None = None) -> DataFrame:
+             month: int | None = None, extra: dict[str, str] | None = None) -> DataFrame:
     """Raw trips under ``year=/month=``; optional single-month read.
 
     The month is selected by a filter on the partition columns of the base
     path (partition pruning), so the partition columns stay in the result.
+    ``extra`` names further file columns with their types; files without such a
+    column give NULL. ``file_columns`` finds what the files have.
     """
-    df = spark.read.schema(RAW).parquet(path)
+    df = spark.read.schema(raw_schema(extra)).parquet(path)
     if year is not None:
         df = df.filter(F.col("year") == F.lit(year))
     if month is not None:
@@ -42,22 +62,22 @@ class DuplicateZoneError(ValueError):
     pass
 
 
-def zone_stats(zones: DataFrame) -> tuple[int, int]:
-    """(rows, distinct LocationID) of a zone table in one aggregate job."""
-    r = zones.agg(F.count(F.lit(1)).alias("n"),
+def zone_stats(zones: DataFrame) -> tuple[int, int, int]:
+    """(rows, rows with an id, distinct ids) of a zone table in one aggregate job."""
+    r = zones.agg(F.count(F.lit(1)).alias("n"), F.count("LocationID").alias("k"),
                   F.count_distinct("LocationID").alias("d")).first()
-    return int(r["n"]), int(r["d"])
+    return int(r["n"]), int(r["k"]), int(r["d"])
 
 
 def check_zones(zones: DataFrame) -> int:
     """Raise if a LocationID repeats (a left join would fan trips out).
 
-    Returns the row count, which callers use as the proven size bound before
-    broadcasting the table.
+    Rows without an id match no trip and are tolerated. Returns the row count,
+    which callers use as the proven size bound before broadcasting the table.
     """
-    n, d = zone_stats(zones)
-    if n != d:
-        raise DuplicateZoneError(f"zone table has {n} rows but {d} distinct LocationID")
+    n, with_id, distinct = zone_stats(zones)
+    if with_id != distinct:
+        raise DuplicateZoneError(f"zone table has {with_id} ids but {distinct} distinct ones")
     return n
 
 
@@ -84,14 +104,14 @@ def repair_partitions(spark: SparkSession, table: str) -> bool:
         spark.catalog.recoverPartitions(table)
         return True
     except Exception as e:  # noqa: BLE001 - tolerated by design
-        print(f"partition repair of {table} failed, using known partitions: {e}")
+        log.warning("partition repair of %s failed, using known partitions: %s", table, e)
         return False
 
 
 def create_external_raw_table(spark: SparkSession, name: str, path: str) -> None:
-    """Register landed raw files as a partitioned catalog table (no data copy)."""
+    """Register landed raw files as a partitioned catalog table (no data copy) unless it is there."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in RAW.fields)
-    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet "
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
               f"PARTITIONED BY (year, month) LOCATION '{path}'")
 
 
