@@ -164,18 +164,18 @@ WITH t AS (
 ), w AS (
   SELECT *, 13 + length(role) + length(regexp_replace(role, '[^\\#<\n]', '', 'g'))
             + length(text) + length(regexp_replace(text, '[^\\#<]', '', 'g')) AS n,
-         row_number() OVER o AS at, max(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER (
+         row_number() OVER o AS place, max(CASE WHEN role = 'assistant' THEN 1 ELSE 0 END) OVER (
            PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC
            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS used
   FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 ), c AS (
-  SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY at) AS upto FROM w
+  SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY place) AS upto FROM w
 )
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY at)) AS turns_sha256,
-       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY at) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       CAST(coalesce(sum(upto) FILTER (role = 'assistant'), 0) + coalesce(sum(n) FILTER (used = 0), 0) AS BIGINT)
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(coalesce(sum(upto) FILTER (WHERE role = 'assistant'), 0) + coalesce(sum(n) FILTER (WHERE used = 0), 0) AS BIGINT)
          AS formatted_chars
 FROM c GROUP BY conv_id"""
 
