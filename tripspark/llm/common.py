@@ -80,7 +80,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 #: Rows up to which a list of ids or digests (below 100 bytes a row) is broadcast;
 #: a longer one goes through a shuffle join.
-BROADCAST_ROWS = 400_000
+BROADCAST_ROWS = 100_000
 
 
 def counted_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:

@@ -1,52 +1,76 @@
-"""Connected components of an edge table by repeated contraction.
-
-Each round, every node points to its neighbour (or itself) with the smallest
-hash, pointers are followed two steps further, and the edges are rewritten to
-the nodes pointed at; edges inside one node go. With an order drawn anew each
-round the number of nodes falls geometrically, chains and stars alike. Every
-step is a join or an aggregate that combines before its shuffle, and each
-round's tables are written to the shared folder. No edge, node or component
-list reaches the driver, and no node's neighbours are gathered in one row.
+"""Connected components of an edge table by alternating star operations.
+
+Large-star links every larger neighbour of a node to the smallest node in its
+neighbourhood, small-star every smaller one and the node itself; both keep
+components as they are, and repeated in turn they end in stars around each
+component's smallest node, in few rounds for chains and stars alike. An
+operation is one shuffle by node: rows arrive sorted, so the first neighbour is the
+smallest, and the others stream past it. No node's neighbours are gathered in a
+row or in memory, and no edge, node or component list reaches the driver. Each
+round's edges are written to the shared folder.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import materialize
+from tripspark.llm.common import materialize, python_stages
+
+
+def _star(large: bool):
+    """Edges (larger node, smaller node) from rows (u, v) in order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_u = last_v = least = None
+        for batch in batches:
+            u, v = (batch.column(k).to_numpy() for k in range(2))
+            if not len(u):
+                continue
+            new = np.empty(len(u), dtype=bool)
+            new[0], new[1:] = u[0] != last_u, u[1:] != u[:-1]
+            repeat = ~new
+            repeat[0] &= bool(v[0] == last_v)
+            repeat[1:] &= v[1:] == v[:-1]
+            first = np.maximum.accumulate(np.where(new, np.arange(len(u)), -1))
+            m = v[np.maximum(first, 0)]
+            if first[0] < 0:
+                m = np.where(first < 0, least, m)
+            last_u, last_v, least = u[-1], v[-1], m[-1]
+            if large:
+                keep = (v > u) & ~repeat
+                hi, lo = v[keep], np.minimum(m, u)[keep]
+            else:
+                keep = (v != m) & ~repeat
+                hi, lo = np.concatenate([v[keep], u[new]]), np.concatenate([m[keep], m[new]])
+            yield pa.RecordBatch.from_arrays([pa.array(hi, pa.int64()), pa.array(lo, pa.int64())], names=["a", "b"])
+    return run
+
+
+def _apply(rows: DataFrame, large: bool) -> DataFrame:
+    return rows.toDF("u", "v").repartition("u").sortWithinPartitions("u", "v").mapInArrow(_star(large), "a bigint, b bigint")
+
+
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """The distinct edges as a table, and their count and a hash of all of them."""
+    edges = materialize(edges.distinct(), "cc-edges")
+    r = edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
+    return edges, (int(r[0]), int(r[1]))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node in ``edges`` (a, b: bigint); component is
-    the smallest node that can be reached. Loops and repeats are fine."""
-    edges = materialize(_tidy(edges), "cc-edges")
-    labels = materialize(edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
-                         .withColumn("at", F.col("node")), "cc-labels")
-    turn = 0
-    while not edges.isEmpty():
-        turn += 1
-        ends = edges.union(edges.select("b", "a"))
-        order = F.struct(F.xxhash64("b", F.lit(turn)), F.col("b"))
-        own = F.struct(F.xxhash64("a", F.lit(turn)), F.col("a").alias("b"))
-        point = ends.groupBy("a").agg(F.min(order).alias("m")).select(
-            F.col("a").alias("node"), F.least(F.col("m"), own)["b"].alias("to"))
-        point = materialize(point, "cc-point")
-        for _ in range(2):
-            further = point.select(F.col("node").alias("to"), F.col("to").alias("next"))
-            point = point.join(further, "to").select("node", F.col("next").alias("to"))
-        point = materialize(point, "cc-point")
-        labels = labels.join(point.withColumnRenamed("node", "at"), "at", "left").select(
-            "node", F.coalesce("to", "at").alias("at"))
-        labels = materialize(labels, "cc-labels")
-        edges = (edges.join(point.select(F.col("node").alias("a"), F.col("to").alias("x")), "a")
-                 .join(point.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
-                 .select(F.col("x").alias("a"), F.col("y").alias("b")))
-        edges = materialize(_tidy(edges), "cc-edges")
-    least = labels.groupBy("at").agg(F.min("node").alias("component"))
-    return labels.join(least, "at").select("node", "component")
-
-
-def _tidy(edges: DataFrame) -> DataFrame:
-    """Each edge once, smaller end first, loops dropped."""
-    return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct()
+    the smallest node that can be reached. Repeats are fine; loops count for nothing."""
+    python_stages(edges.sparkSession)
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b")
+    edges, state = _written(edges)
+    before = None
+    while state[0] and state != before:
+        before = state
+        wide = _apply(edges.union(edges.select("b", "a")), large=True)
+        edges, state = _written(_apply(wide, large=False))
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
+        edges.select("b", "b").distinct())

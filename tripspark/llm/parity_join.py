@@ -8,8 +8,9 @@ the symmetric difference of the sets. Sets with Jaccard similarity of at least
 most n / 4 blocks. By the pigeonhole principle two such sets agree on a block
 that is among the first n / 4 + 1 non-empty blocks of both in any fixed order
 of (block, content). Those blocks are join keys: a block's bits are carried as
-the XOR of one 64-bit code per set bit. Pairs that meet are verified on the full
-sets.
+the XOR of one 64-bit code per set bit. Pairs that meet are first compared on
+folded sketches of two to four bits a shingle, whose Hamming distance is still at
+most the symmetric difference, and those that may link on their full sets.
 
 Bands. Band p covers sizes from 2^p to 2.5 * 2^p, so that every pair that can
 link shares a band (a set is in one or two). From size 64 on, K is 2^p: one to
@@ -20,10 +21,9 @@ Skew. Equal sets share one node from the start: each task emits the keys of a
 set once, and tasks' repeats merge before verification. The order of blocks
 puts those that are frequent in a bounded sample of documents last; the order
 never changes the result, but keeps shared passages out of the keys. Documents
-that share a key are not paired with one another, but with one centre; a
-second centre follows for those that are not connected yet, and only for what
-is still apart after that all remaining pairs of the key are verified. Hence
-every pair that can link is either verified or already connected.
+that share a key are not paired with one another, but with one centre, and only
+for what is not connected after that the other pairs of the key are verified.
+Hence every pair that can link is either verified or already connected.
 
 Cases. Null text and text without words have the empty set, link with nothing
 and are their own component. Rows that repeat an id are separate rows with the
@@ -48,8 +48,8 @@ from tripspark.llm.shingles import shingle_sets
 #: Documents in the sample that finds frequent blocks, and the share of them
 #: in which a block must occur to be put last. At most
 #: SAMPLE_ROWS * blocks a document / (SAMPLE_ROWS * FREQUENT) keys are frequent.
-SAMPLE_ROWS = 4000
-FREQUENT = 0.004
+SAMPLE_ROWS = 16_000
+FREQUENT = 0.00025
 
 _SMALL = 64
 _BIT = np.uint64(0xD6E8FEB86659FD93)
@@ -78,6 +78,23 @@ def block_keys(s: np.ndarray) -> np.ndarray:
     return out
 
 
+def folded_sketch(s: np.ndarray) -> bytes:
+    """The parity sketch in the power of two of bits that is two to four times the size."""
+    bits = max(64, 1 << (len(s).bit_length() + 1))
+    where = (mix64(s ^ _BIT) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(where, minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def hamming(x: bytes, y: bytes) -> int:
+    """Distance of two folded sketches; the longer one is folded to the shorter one's bits."""
+    u, v = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(u) != len(v):
+        if len(u) < len(v):
+            u, v = v, u
+        u = u[:len(u) // 2] ^ u[len(u) // 2:]
+    return int(np.bitwise_count(u ^ v).sum())
+
+
 def signature(s: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """The keys of the first n / 4 + 1 blocks of each band, frequent ones last."""
     need, out = len(s) // 4 + 1, []
@@ -115,7 +132,7 @@ def _sign(frequent: np.ndarray):
         row = TaskContext.get().partitionId() << 33
         seen: set[int] = set()
         for batch in batches:
-            sizes, hashes, rows, keys = [], [], [], []
+            sizes, hashes, rows, keys, sketches = [], [], [], [], []
             for s in shingle_sets(*byte_view(batch.column(1))):
                 h = set_hash(s)
                 new = len(s) > 0 and h not in seen
@@ -125,9 +142,11 @@ def _sign(frequent: np.ndarray):
                 rows.append(row)
                 row += 1
                 keys.append(signature(s, frequent) if new else s[:0])
+                sketches.append(folded_sketch(s) if new else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.int64()),
-                 pa.array(rows, pa.int64()), _lists(keys)], names=["doc_id", "n_shingles", "node", "row", "keys"])
+                 pa.array(rows, pa.int64()), _lists(keys), pa.array(sketches, pa.binary())],
+                names=["doc_id", "n_shingles", "node", "row", "keys", "sketch"])
     return run
 
 
@@ -143,6 +162,15 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), _lists(sets)], names=["node", "items"])
 
 
+def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, sizes of both, x, y) whose sketches x and y don't rule out a similarity of 0.8."""
+    for batch in batches:
+        sizes = batch.column(2).to_pylist()
+        x, y = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+        keep = [9 * hamming(u, v) <= n for n, u, v in zip(sizes, x, y, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, x, y) whose sorted sets x and y have a similarity of 0.8 or more."""
     for batch in batches:
@@ -161,7 +189,7 @@ def frequent_blocks(docs: DataFrame, rows: int = SAMPLE_ROWS, share: float = FRE
     ids = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     sample = docs.select("doc_id", text_bytes(F.col("text")).alias("t")).join(F.broadcast(ids.distinct()), "doc_id")
     keys = sample.select("t").mapInArrow(_sample_keys, "key bigint").groupBy("key").count()
-    found = keys.filter(F.col("count") >= max(3, int(rows * share))).select("key").toArrow().column(0)
+    found = keys.filter(F.col("count") >= max(4, int(rows * share))).select("key").toArrow().column(0)
     return np.sort(found.to_numpy().view(np.uint64))
 
 
@@ -174,37 +202,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     id_type = docs.schema["doc_id"].dataType.simpleString()
     signed = materialize(bytes_.mapInArrow(
         _sign(frequent_blocks(docs)),
-        f"doc_id {id_type}, n_shingles bigint, node bigint, row bigint, keys array<bigint>"), "jaccard-signed")
-    nodes = signed.filter("n_shingles > 0").select("row", "node", "n_shingles")
+        f"doc_id {id_type}, n_shingles bigint, node bigint, row bigint, keys array<bigint>, sketch binary"), "jaccard-signed")
+    nodes = signed.filter("sketch IS NOT NULL").select("row", "node", "n_shingles", "sketch", "doc_id")
 
-    # Rows that share a key, each with the smallest and the largest of them.
+    # Rows that share a key, each with the smallest of them.
     share = Window.partitionBy("key")
     met = (signed.select("row", F.explode("keys").alias("key"))
            .withColumns({"lo": F.min("row").over(share), "hi": F.max("row").over(share)}).filter("lo <> hi"))
-    met = materialize(met, "jaccard-met")
-    used = met.select("row").distinct().join(nodes, "row")
-    used = materialize(used, "jaccard-used")
-    items = _items(bytes_, used, signed)
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """Links among pairs of rows (a, b): rows become nodes, sizes are compared, then the sets."""
-        side = used.select(F.col("row"), F.col("node"), F.col("n_shingles").alias("n"))
-        pairs = (pairs.distinct().join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb"), "b")
-                 .filter("na <> nb AND 5 * least(sa, sb) >= 4 * greatest(sa, sb)")
-                 .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct())
-        full = (pairs.join(items.toDF("a", "x"), "a").join(items.toDF("b", "y"), "b").select("a", "b", "x", "y"))
-        return materialize(full.mapInArrow(_verify, "a bigint, b bigint").distinct(), "jaccard-links")
+    met = materialize(met.select("key", "row", "lo"), "jaccard-met")
+    used = materialize(met.select("row").distinct().join(nodes, "row"), "jaccard-used")
 
     # Equal sets in different tasks are one node, so nodes carry the links.
-    links = verified(met.filter("row <> lo").select(F.col("lo").alias("a"), F.col("row").alias("b")))
-    groups = _apart(met, used, links)
-    if not groups.isEmpty():
-        second = groups.filter("comp <> hi_comp").select(F.col("hi").alias("a"), F.col("row").alias("b"))
-        links = materialize(links.union(verified(second)).distinct(), "jaccard-links")
-        groups = _apart(met, used, links)
-        if not groups.isEmpty():
-            links = materialize(links.union(verified(_remaining(groups))).distinct(), "jaccard-links")
-    component = connected_components(links)
+    links = _verified(bytes_, used, met.filter("row <> lo").select(F.col("lo").alias("a"), F.col("row").alias("b")))
+    component = materialize(connected_components(links), "jaccard-components")
+    more = _verified(bytes_, used, _remaining(met, used, component))
+    if not more.isEmpty():
+        component = connected_components(links.union(more))
     least = (signed.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
              .join(component, "node", "left").withColumn("component", F.coalesce("component", "node")))
     named = least.join(least.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select(
@@ -215,40 +228,103 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     .alias("component_id")))
 
 
-def _items(texts: DataFrame, used: DataFrame, signed: DataFrame) -> DataFrame:
-    """(node, sorted set) of the nodes that met others, from the texts of one row each."""
-    one = used.groupBy("node").agg(F.min("row").alias("row"))
-    ids = signed.select("row", "doc_id").join(one, "row").select(F.col("doc_id").alias("used_id")).distinct()
-    ids = counted_broadcast(materialize(ids, "jaccard-ids"))
+def _verified(texts: DataFrame, used: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Links (a, b) between nodes among pairs (a, b) of rows: sizes are compared, then
+    sketches, then the sets of what is left."""
+    side = used.select("row", "node", "n_shingles", "sketch")
+    pairs = (pairs.distinct().join(side.toDF("a", "na", "sa", "xa"), "a").join(side.toDF("b", "nb", "sb", "xb"), "b")
+             .filter("na <> nb AND 5 * least(sa, sb) >= 4 * greatest(sa, sb)")
+             .select("na", "nb", (F.col("sa") + F.col("sb")).alias("n"), "xa", "xb")
+             .mapInArrow(_may_link, "a bigint, b bigint"))
+    pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
+                        "jaccard-pairs")
+    if pairs.isEmpty():
+        return pairs
+    nodes = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "jaccard-nodes")
+    ids = used.join(counted_broadcast(nodes), "node").groupBy("node").agg(F.min("doc_id").alias("used_id"))
+    ids = counted_broadcast(materialize(ids.select("used_id"), "jaccard-ids"))
     rows = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("used_id")), "left_semi")
     items = rows.select("t").mapInArrow(_sets, "node bigint, items array<bigint>")
-    return materialize(items, "jaccard-sets")
-
-
-def _apart(met: DataFrame, used: DataFrame, links: DataFrame) -> DataFrame:
-    """Members of keys under which more than one component lies so far: key, row,
-    n, lo, hi, comp and the components of lo and hi."""
-    component = connected_components(links)
-    of = (used.join(component, "node", "left")
-          .select("row", F.coalesce("component", "node").alias("comp"), F.col("n_shingles").alias("n")))
-    of = materialize(of, "jaccard-of")
-    keys = (met.join(of, "row").groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"))
-            .filter("c1 <> c2").select("key"))
-    rows = met.join(keys, "key").join(of, "row")
-    for end in ("lo", "hi"):
-        rows = rows.join(of.select(F.col("row").alias(end), F.col("comp").alias(f"{end}_comp")), end)
-    return materialize(rows, "jaccard-apart")
-
-
-def _remaining(groups: DataFrame) -> DataFrame:
-    """All pairs of rows under a key whose components differ, but for those within
-    the component of the key's first row, which are connected."""
-    left = groups.filter("comp <> lo_comp").select("key", F.col("row").alias("a"), F.col("comp").alias("ca"),
-                                                   F.col("n").alias("sa"))
-    right = groups.select("key", F.col("row").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("sb"),
-                          (F.col("comp") != F.col("lo_comp")).alias("other"))
-    return (left.join(right, "key").filter("ca <> cb AND (NOT other OR a < b) AND 5 * least(sa, sb) >= 4 * greatest(sa, sb)")
-            .select("a", "b"))
+    items = materialize(items.join(counted_broadcast(nodes), "node", "left_semi"), "jaccard-sets")
+    full = pairs.join(items.toDF("a", "x"), "a").join(items.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    return materialize(full.mapInArrow(_verify, "a bigint, b bigint"), "jaccard-links")
+
+
+def _remaining(met: DataFrame, used: DataFrame, component: DataFrame) -> DataFrame:
+    """Pairs of rows that share a key, are in different components so far, and may be
+    similar by their sizes and short sketches. Rows of a key are compared in tiles; the
+    tiles of a large key go to different tasks."""
+    of = used.join(component, "node", "left").select(
+        "row", F.coalesce("component", "node").alias("comp"), F.col("n_shingles").alias("n"), "sketch")
+    share = Window.partitionBy("key")
+    rows = met.join(of.drop("sketch"), "row").withColumns({
+        "c1": F.min("comp").over(share), "c2": F.max("comp").over(share), "members": F.count(F.lit(1)).over(share)})
+    rows = materialize(rows.filter("c1 <> c2").select("key", "row", "n", "comp", "members"), "jaccard-apart")
+    tiles = F.ceil(F.col("members") / TILE).cast("int")
+    dealt = (rows.join(of.select("row", "sketch"), "row")
+             .withColumns({"tile": F.pmod(F.xxhash64("row"), tiles).cast("int"), "tiles": tiles})
+             .select("key", "row", "n", "comp", "sketch", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")))
+    dealt = dealt.select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "n", "tile", "row",
+                         "comp", "sketch")
+    return (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n")
+            .mapInArrow(_tile_pairs, "a bigint, b bigint"))
+
+
+#: Rows of a key that are compared in one tile, and the most 64-bit words of a sketch there.
+TILE, TILE_WORDS = 2048, 64
+
+
+def _short(sketch: bytes) -> np.ndarray:
+    words = np.frombuffer(sketch, np.uint64)
+    while len(words) > TILE_WORDS:
+        words = words[:len(words) // 2] ^ words[len(words) // 2:]
+    return words
+
+
+def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that may link, of rows (key, i, j, n, tile, row, comp, sketch) by key, tile pair and size."""
+    key, held = None, []
+    for batch in batches:
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        for values in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
+            if values[:3] != key:
+                out += _compared(key, held)
+                key, held = values[:3], []
+            held.append((*values[3:7], _short(values[7])))
+        if out:
+            yield _pair_batch(out)
+    yield _pair_batch(_compared(key, held))
+
+
+def _pair_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b = (np.concatenate([p[k] for p in pairs]) if pairs else np.zeros(0, np.int64) for k in range(2))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _compared(key: tuple | None, held: list[tuple]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one tile pair, by size: a row meets those up to 5 / 4 of its size."""
+    out = []
+    if key is None or len(held) < 2:
+        return out
+    n, tile, row, comp = (np.array([h[k] for h in held], dtype=np.int64) for k in range(4))
+    words = np.array([len(h[4]) for h in held])
+    sketches = {w: np.stack([h[4] for h, k in zip(held, words.tolist(), strict=True) if k == w]) for w in np.unique(words).tolist()}
+    place = np.zeros(len(held), dtype=np.int64)
+    for w in sketches:
+        place[words == w] = np.arange((words == w).sum())
+    stop = np.searchsorted(n, n * 5 // 4, side="right")
+    for i in range(len(held) - 1):
+        j = np.arange(i + 1, stop[i])
+        j = j[(comp[j] != comp[i]) & ((key[1] == key[2]) | (tile[j] != tile[i]))]
+        for w in np.unique(words[j]).tolist():
+            own = j[words[j] == w]
+            x, y = held[i][4], sketches[w][place[own]]
+            while y.shape[1] > len(x):
+                y = y[:, :y.shape[1] // 2] ^ y[:, y.shape[1] // 2:]
+            near = own[9 * np.bitwise_count(y ^ x).sum(axis=1, dtype=np.int64) <= n[own] + n[i]]
+            if len(near):
+                out.append((np.full(len(near), row[i]), row[near]))
+    return out
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:
