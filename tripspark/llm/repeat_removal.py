@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.llm.common import byte_view, materialize, mix64, python_stages, text_bytes
@@ -46,7 +46,7 @@ WINDOW, GRAM = 200, 64
 #: Minimizer candidates in a window.
 SPAN = WINDOW - GRAM + 1
 #: Segments of one minimizer that one index takes; offsets dealt together beyond that.
-HOT, CORE_STEP = 2000, 16
+HOT, CORE_STEP = 400, 16
 #: Bytes and strings of one index, beyond which no further minimizer joins it.
 INDEX_BYTES, INDEX_STRINGS = 1 << 20, 20_000
 #: Bytes hashed at a time; a longer text is hashed by itself.
@@ -170,14 +170,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Segments (row, first, count, bytes) window by window, keyed by their content."""
+    """Segments (row, first, count, bytes) window by window: (digest, row, first)."""
     for batch in batches:
-        out = []
+        digests, rows, firsts = [], [], []
         for row, first, count, raw in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-            for i in range(count):
-                w = raw[i:i + WINDOW]
-                out.append((_hash64(w, 100), row, first + i, 1, 3, hashlib.blake2b(w, digest_size=16).digest()))
-        yield _records(out)
+            digests += [hashlib.blake2b(raw[i:i + WINDOW], digest_size=16).digest() for i in range(count)]
+            rows += [row] * count
+            firsts += range(first, first + count)
+        yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(rows, pa.int64()),
+                                          pa.array(firsts, pa.int64())], names=["window", "row", "first"])
 
 
 _RECORD = {"key": pa.int64(), "row": pa.int64(), "first": pa.int64(), "count": pa.int32(), "level": pa.int32(),
@@ -279,11 +280,10 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
 
-def _attached(texts: DataFrame, extra: DataFrame, ranges: Column, how: str) -> DataFrame:
-    """``texts`` joined with a table of ranges by (doc_id, mark); broadcast if a count of the ranges allows it."""
-    total = extra.agg(F.sum(F.size(ranges) + 1)).first()[0] or 0
+def _attached(texts: DataFrame, extra: DataFrame, how: str, small: bool = False) -> DataFrame:
+    """``texts`` joined with a table by (doc_id, mark)."""
     extra = extra.withColumnsRenamed({"doc_id": "__id", "mark": "__mark"})
-    extra = F.broadcast(extra) if total <= BROADCAST_RANGES else extra
+    extra = F.broadcast(extra) if small else extra
     return texts.join(extra, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")), how)
 
 
@@ -307,7 +307,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     wanted = (shared.filter("NOT same").groupBy("row").agg(F.collect_list(F.struct("gram", "first", "shape", "hot")).alias("wanted"))
               .join(signed.select("row", "doc_id", "mark"), "row"))
     wanted = materialize(wanted, "repeats-wanted")
-    cut = materialize(_attached(texts, wanted, F.col("wanted"), "inner").select("t", "row", "wanted")
+    cut = materialize(_attached(texts, wanted, "inner").select("t", "row", "wanted")
                       .mapInArrow(_cut, _RECORD_SCHEMA), "repeats-segments")
     hot = cut.filter("level = 2").groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > HOT).select("key")
     hot = materialize(hot, "repeats-hot")
@@ -317,10 +317,10 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ranges = ranges.unionByName(indexed)
     if not hot.isEmpty():
         one = (cut.filter("level = 2").join(hot, "key").select("row", "first", "count", "bytes")
-               .mapInArrow(_single, _RECORD_SCHEMA).select("key", "bytes", "row", "first"))
+               .mapInArrow(_single, "window binary, row bigint, first bigint"))
         one = materialize(one, "repeats-windows")
-        twice = one.groupBy("key", "bytes").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-        ranges = ranges.unionByName(one.join(twice, ["key", "bytes"]).select(
+        twice = one.groupBy("window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+        ranges = ranges.unionByName(one.join(twice, "window").select(
             "row", F.col("first").alias("begin"), (F.col("first") + WINDOW).alias("end")))
     spans = (ranges.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("begin", "end"))).alias("ranges"))
              .mapInArrow(_union, "row bigint, spans array<struct<begin:bigint,end:bigint>>"))
@@ -339,6 +339,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     run of bytes) and kept (the remaining bytes)."""
     texts, found = find_repeats(docs, id_col, text_col)
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    rows = _attached(texts, found, F.col("spans"), "left").select("doc_id", "t", "spans")
+    ranges = found.agg(F.sum(F.size("spans") + 1)).first()[0] or 0
+    rows = _attached(texts, found, "left", ranges <= BROADCAST_RANGES).select("doc_id", "t", "spans")
     out = rows.mapInArrow(_remove, f"doc_id {id_type}, n_bytes bigint, spans array<struct<begin:bigint,end:bigint>>, kept binary")
     return out.withColumn("spans", F.coalesce("spans", F.array().cast("array<struct<begin:bigint,end:bigint>>")))
