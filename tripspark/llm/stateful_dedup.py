@@ -122,7 +122,9 @@ def stateful_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     slim.write.parquet(f"{folder}/digests")
     slim = spark.read.schema(slim.schema).parquet(f"{folder}/digests")
     stream = spark.readStream.schema(slim.schema).parquet(f"{folder}/digests")
-    state = stream_state(stream, f"{folder}/state")
+    # Written first, so that the join below has a plain shuffle on either side and
+    # Spark can split the rows of a digest that a large group shares.
+    state = materialize(stream_state(stream, f"{folder}/state"), "dedup-state")
     groups = slim.join(state.select("digest", "keep_id", "group_size"), "digest")
     groups = materialize(groups.select("doc_id", "keep_id", "group_size", "digest"), "dedup-groups")
     texts = _hit_texts(docs, groups, id_col, text_col)
