@@ -77,6 +77,37 @@ def test_table_recall_and_precision(spark, sf_small):
     assert sum(f[1] for f in found) >= 0.95 * sum(w[1] for w in want)
 
 
+def planted(n, crowd, seed=1, pairs=300, dims=64, cosine=0.91):
+    """n vectors with a cosine of about ``crowd`` to each other, the first of them in pairs."""
+    r = np.random.default_rng(seed)
+    x = r.standard_normal((n, dims))
+    x = np.sqrt(1 - crowd) * x / np.linalg.norm(x, axis=1, keepdims=True)
+    x[:, 0] += np.sqrt(crowd)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    own, side = x[:pairs], r.standard_normal((pairs, dims))
+    side -= (side * own).sum(axis=1, keepdims=True) * own
+    x[pairs:2 * pairs] = cosine * own + np.sqrt(1 - cosine**2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+    return x
+
+
+def pairs_that_met(spark, x, pairs=300):
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    of = {r["vec_id"]: r["component_id"] for r in op.near_duplicates(df).collect()}
+    return sum(of[i] == of[i + pairs] for i in range(pairs))
+
+
+def test_crowded_vectors_meet_as_evenly_spread_ones(spark):
+    """Pairs just above the threshold, where all vectors lie in a region that is below it."""
+    assert pairs_that_met(spark, planted(8000, 0.8)) >= 297
+
+
+def test_prefix_larger_than_a_tile_is_compared_in_tiles(spark, monkeypatch):
+    monkeypatch.setattr(op, "TILE", 256)
+    third = planted(2000, 0.7)
+    spread = np.random.default_rng(2).standard_normal((4000, 64))
+    assert pairs_that_met(spark, np.concatenate([third, spread])) >= 297
+
+
 def test_more_vectors_take_more_passes():
     assert op.passes_for(10) == 1
     assert op.passes_for(10**4) < op.passes_for(10**6) < op.passes_for(10**8)
