@@ -92,6 +92,39 @@ def test_one_document_of_each_component_stays(docs, empty_docs):
     assert op.one_per_component(empty_docs).columns == empty_docs.columns
 
 
+def kept_as_by_brute_force(data, out):
+    """Of each component one row stays, with the smallest id if there is one; rows without words all stay."""
+    sets = [shingles(t) for _, t in data]
+    root = {s: s for s in sets}
+
+    def find(s):
+        while root[s] != s:
+            s = root[s]
+        return s
+
+    for s in list(root):
+        for u in list(root):
+            if s and u and 100 * len(s & u) >= 80 * len(s | u):
+                root[find(s)] = find(u)
+    ids = {}
+    for (d, _), s in zip(data, sets):
+        ids.setdefault(find(s), []).append(d)
+    least = lambda c: min((d is None, d or 0, d) for d in ids[c])[2]
+    want = [(c, least(c)) for c in ids if c] + [(frozenset(), d) for d in ids.get(frozenset(), [])]
+    assert set(out) <= set(data)
+    assert sorted([(find(shingles(t)), d) for d, t in out], key=str) == sorted(want, key=str)
+
+
+def test_rows_without_or_with_repeated_ids_are_kept_by_their_texts(spark, docs):
+    kept_as_by_brute_force(rows(docs), rows(op.one_per_component(docs)))
+    text = lambda k, edit="": " ".join(f"t{k}w{i}" for i in range(60)) + edit
+    data = [(1, text(1)), (None, text(1, " near")), (None, text(2)), (None, text(3)), (None, text(3, " near")),
+            (7, text(4)), (7, text(1, " other")), (8, text(5)), (8, text(5, " near")), (8, text(5, "  near")), (9, text(6)),
+            (None, text(7)), (None, text(7)), (None, ""), (None, None), (8, ""), (10, text(6, " x"))]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    kept_as_by_brute_force(data, rows(op.one_per_component(df)))
+
+
 def test_empty_table(empty_docs):
     assert op.jaccard_components(empty_docs).count() == 0
 

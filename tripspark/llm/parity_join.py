@@ -195,6 +195,14 @@ def frequent_blocks(docs: DataFrame, rows: int = SAMPLE_ROWS, share: float = FRE
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (see module docstring)."""
+    return _placed(docs, id_col, text_col).select(
+        "doc_id", "n_shingles",
+        F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, node, component (a node; null for empty
+    sets) and component_id, its smallest id."""
     spark = docs.sparkSession
     python_stages(spark)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -221,11 +229,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     least = (signed.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
              .join(component, "node", "left").withColumn("component", F.coalesce("component", "node")))
     named = least.join(least.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select(
-        "node", "component_id")
-    return (signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-            .select("doc_id", "n_shingles",
-                    F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-                    .alias("component_id")))
+        "node", "component", "component_id")
+    return signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
 
 
 def _verified(texts: DataFrame, used: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -327,9 +332,34 @@ def _compared(key: tuple | None, held: list[tuple]) -> list[tuple[np.ndarray, np
     return out
 
 
+def _set_nodes(texts: pa.Array) -> pa.Array:
+    """The node of each text, null for empty sets."""
+    return pa.array([set_hash(s) if len(s) else None for s in shingle_sets(*byte_view(texts))], pa.int64())
+
+
 def one_per_component(docs: DataFrame) -> DataFrame:
-    """The input rows that stay: of every component the row with the smallest id."""
-    rows = materialize(jaccard_components(docs), "jaccard-rows")
-    gone = rows.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone"))
-    gone = counted_broadcast(materialize(gone.distinct(), "jaccard-gone"))
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    """The input rows that stay: of every component the row with the smallest id, null ids
+    last; of its rows with this id the one with the smallest node, then text. Rows
+    with the empty set stay.
+
+    A row whose id is null or repeated is told by its id and node."""
+    rows = materialize(_placed(docs, "doc_id", "text"), "jaccard-rows")
+    several = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("doc_id IS NULL OR n > 1")
+    several = materialize(several.select(F.col("doc_id").alias("__id")), "jaccard-several")
+    gone = rows.filter((F.col("n_shingles") > 0) & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = materialize(gone.select(F.col("doc_id").alias("__id")).union(several).distinct(), "jaccard-gone")
+    kept = docs.join(counted_broadcast(gone), F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    if several.isEmpty():
+        return kept
+
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("first")
+    stay = rows.filter("n_shingles > 0").groupBy("component").agg(first).select("first.doc_id", "first.node")
+    several = counted_broadcast(several)
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    stay = materialize(stay.join(several, same, "left_semi").toDF("__id", "__stays"), "jaccard-stay")
+    marked = docs.join(several, same, "left_semi").withColumn("__node", F.arrow_udf(_set_nodes, "bigint")(text_bytes(F.col("text"))))
+    marked = materialize(marked, "jaccard-marked")
+    empty = marked.filter("__node IS NULL").select(*docs.columns)
+    marked = marked.join(counted_broadcast(stay), same & (F.col("__node") == F.col("__stays")), "left_semi")
+    row = F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("row")
+    return kept.union(empty).union(marked.groupBy("doc_id", "__node").agg(row).select("row.*"))
