@@ -45,6 +45,7 @@ def literals(text):
 
 
 KEY = "q8Zr-T4vWx!9Lm2#Kp7"
+STRONG = "aB3$xY7!mN5%pQ9&rS2*"
 
 
 def test_names_make_literals_sensitive():
@@ -63,6 +64,18 @@ def test_constants_are_propagated():
     assert literals(joined) == ["Zq81-Lmx9", "Wv73!Tpo2"]
 
 
+@pytest.mark.parametrize("word", sorted(op.SENSITIVE))
+def test_every_sensitive_word_is_lexed_in_a_text_of_its_own(word):
+    for name in (word, word.upper(), f"{word[:2]}_{word[2:]}", f"{word[:2].title()}{word[2:].title()}"):
+        assert op.name_score(name) >= op.SENSITIVE[word] and op.may_be_sensitive(f'{name} = "x"')
+        if op.SENSITIVE[word] * op.literal_score(STRONG) >= op.LITERAL_SCORE:
+            assert [s[0] for s in op.scan(f'{name} := "{STRONG}"')] in (["literal"], ["assign"])
+
+
+def test_two_weak_words_are_lexed_in_a_text_of_their_own():
+    assert literals(f'signing = "{STRONG}"') == literals(f'connection_access: "{STRONG}"') == [STRONG]
+
+
 def test_prose_is_left_alone():
     assert op.scan("The key: a token of thanks. Passing the secret garden: it was private, access = free.") == []
 

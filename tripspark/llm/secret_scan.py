@@ -10,8 +10,8 @@ scored by the most sensitive name it reaches and by its own shape, and those
 that reach LITERAL_SCORE become spans of a fourth kind. Literals inside a fixed
 span are not reported twice.
 
-One narrow pass over whole texts on executors, no shuffle; a text without a
-sensitive word or an assignment sign is not lexed.
+One narrow pass over whole texts on executors, no shuffle; a text whose letters
+hold no word of SENSITIVE, or that has no assignment sign, is not lexed.
 
 Cases. Null text counts as empty; bytes that are no UTF-8 as U+FFFD. Rows that
 repeat are scanned one by one. An empty table gives an empty result.
@@ -49,7 +49,9 @@ SENSITIVE = {
     "credential": 0.9, "credentials": 0.9, "auth": 0.7, "bearer": 0.9, "private": 0.6, "signing": 0.6, "key": 0.5,
     "access": 0.4, "salt": 0.5, "cert": 0.4, "connection": 0.4, "dsn": 0.6, "webhook": 0.6,
 }
-_STEMS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "bearer", "private", "salt", "cert", "dsn", "webhook")
+#: What the letters of every name that has a score contain: the words that contain no other.
+_STEMS = tuple(w for w in SENSITIVE if not any(v in w and v != w for v in SENSITIVE))
+_BETWEEN = re.compile(r"[^A-Za-z\n]+")
 _PLACEHOLDERS = ("example", "changeme", "your", "xxxx", "placeholder", "dummy", "none", "null", "true", "false", "todo",
                  "${", "{{", "<", "test", "sample", "redacted")
 
@@ -77,6 +79,13 @@ def name_score(name: str) -> float:
     return min(1.0, best)
 
 
+def may_be_sensitive(text: str) -> bool:
+    """Whether a name in the text may have a score: a word of it may be spread over parts of
+    the name, with anything but letters and line feeds between them."""
+    letters = _BETWEEN.sub("", text).lower()
+    return any(s in letters for s in _STEMS)
+
+
 def literal_score(value: str) -> float:
     """How much a literal looks like a credential: length, kinds of characters, spread."""
     low = value.lower()
@@ -159,7 +168,7 @@ def scan(text: str) -> list[tuple[str, int, int, float]]:
     if "AKIA" in text:
         found += [("access", *m.span(), 1.0) for m in _ACCESS.finditer(text)]
     found += [("hex", *m.span(), 1.0) for m in _HEX.finditer(text)]
-    if ("=" in text or ":" in text) and any(s in low for s in _STEMS):
+    if ("=" in text or ":" in text) and may_be_sensitive(text):
         base = sorted((s, e) for _, s, e, _ in found)
         for start, end, score in literal_spans(text):
             if not any(s <= start and end <= e for s, e in base):
