@@ -76,6 +76,39 @@ def test_two_weak_words_are_lexed_in_a_text_of_their_own():
     assert literals(f'signing = "{STRONG}"') == literals(f'connection_access: "{STRONG}"') == [STRONG]
 
 
+def strong(n):
+    return [f"{KEY}{i}" for i in range(n)]
+
+
+@pytest.mark.parametrize("shape", ["[{}]", "({})", "{{{}}}", "set([{}])", "[[{}], []]", "make({})", "[\n{},\n]"])
+@pytest.mark.parametrize("comma", [", ", ",\n  ", ", # note\n"])
+def test_all_literals_of_a_bracket_belong_to_its_name(shape, comma):
+    text = 'color = "none"\ndb_pwds.pwd = ' + shape.format(comma.join(f'"{k}"' for k in strong(5))) + f'\nname = "{KEY}z"\n'
+    assert literals(text) == strong(5)
+
+
+def test_keys_inside_brackets():
+    a, b, c, d = strong(4)
+    assert literals(f'{{"color": "{a}", "pwd": "{b}", "name": "{c}"}}') == [b]
+    assert literals(f'x = connect(user="{a}", pwd="{b}")\ny = "{c}"') == [b]
+    assert literals(f'credentials = {{"db": "{a}", "api": ["{b}", "{c}"]}}\ncolor = "{d}"') == [a, b, c]
+    assert literals(f'conf["pwd"] = "{a}"\nconf["color"] = "{b}"') == [a]
+    assert literals(f'note :( (\npwd = "{a}"\ncolor = "{b}"\n"{c}"') == [a]
+
+
+def test_names_built_up_over_many_lines_keep_all_literals():
+    keys = strong(300)
+    lines = "S = ''\n" + "".join(f'S = S + "{k}"\n' for k in keys) + "pwd = S\nS = 'x'\n"
+    assert literals(lines) == keys
+    assert literals("S = " + " + ".join(f'"{k}"' for k in keys) + "\ndb_pwd = S") == keys
+
+
+def test_brackets_take_linear_time():
+    for t in ("key=" + "[" * 100_000 + "]" * 100_000, "key=" + "([" * 50_000 + ")" * 50_000, "key=(" + "a=1," * 50_000 + ")",
+              "pwd = {" + "a = {" * 20_000 + "}" * 20_001):
+        op.scan(t)
+
+
 def test_prose_is_left_alone():
     assert op.scan("The key: a token of thanks. Passing the secret garden: it was private, access = free.") == []
 

@@ -5,7 +5,9 @@ lexed for assignments as source and configuration files write them: a name
 (identifier, dotted path, quoted key), an assignment sign and a value made of
 string literals, bare words and other names, joined by + or following one
 another. Literals that a name received are remembered, so a name on the right
-of a later assignment stands for them (constant propagation); a literal is
+of a later assignment stands for them (constant propagation, however many they
+are); commas and line feeds in lists, tuples, tables and arguments go on with the
+name before the bracket, which also gets the values of keys inside it. A literal is
 scored by the most sensitive name it reaches and by its own shape, and those
 that reach LITERAL_SCORE become spans of a fourth kind. Literals inside a fixed
 span are not reported twice.
@@ -62,6 +64,8 @@ _LEXER = re.compile(rf"""
   | (?P<sign>:=|=>|==|!=|<=|>=|[=:])
   | (?P<join>[+])
   | (?P<line>\n|;|,)
+  | (?P<open>[\[({{])
+  | (?P<close>[\])}}])
   | (?P<word>[A-Za-z0-9+/_.\-=~!@%^&*|]+)
   | (?P<comment>(?:\#|//)[^\n]*)
 """, re.VERBOSE | re.ASCII)
@@ -98,58 +102,118 @@ def literal_score(value: str) -> float:
     return 0.4 * min(1.0, entropy / 3.5) + 0.25 * min(1.0, len(value) / 16) + 0.35 * (kinds - 1) / 2 if kinds > 1 else 0.0
 
 
-def assignments(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[str]]]:
-    """(name, spans of its literals, names used in its value) of each assignment, in order."""
-    target: tuple[str, int] | None = None
+class _Item:
+    """An assignment while its value is read."""
+
+    def __init__(self, name: str) -> None:
+        self.name = name
+        self.literals: list[tuple[int, int]] = []
+        self.names: list[str] = []
+        self.inner: list[int] = []
+
+    def any(self) -> bool:
+        return bool(self.literals or self.names or self.inner)
+
+
+def _paired(text: str, tokens: list[tuple[str, int, int]]) -> set[int]:
+    """Places of the brackets that have a partner."""
+    found: set[int] = set()
+    opened: list[int] = []
+    count = Counter()
+    for kind, start, _ in tokens:
+        if kind == "open":
+            opened.append(start)
+            count[text[start]] += 1
+        elif kind == "close":
+            partner = "[({"["])}".index(text[start])]
+            while count[partner]:
+                at = opened.pop()
+                count[text[at]] -= 1
+                if text[at] == partner:
+                    found |= {at, start}
+                    break
+    return found
+
+
+def assignments(text: str) -> Iterator[tuple[str, list[tuple[int, int]], list[str], list[int]]]:
+    """(name, spans of its literals, names used in its value, places in this sequence of the
+    assignments inside its brackets) of each assignment, in order of their ends.
+
+    Inside brackets that have a partner, what has no key of its own belongs to the name before the bracket."""
+    tokens = [(m.lastgroup, m.start(), m.end()) for m in _LEXER.finditer(text)]
+    paired = _paired(text, tokens)
+    frames: list[tuple[_Item | None, _Item | None, int, str]] = []
+    owner: _Item | None = None
+    item: _Item | None = None
+    bracket, strings, number = "", 0, 0
     pending: str | None = None
-    literals: list[tuple[int, int]] = []
-    names: list[str] = []
-    for m in _LEXER.finditer(text):
-        kind = m.lastgroup
-        if kind == "sign" and m.group() in _SIGNS and pending is not None and (target is None or not literals):
-            if target is not None and names and names[-1] == pending:
-                names.pop()
-            if target is not None and (literals or names):
-                yield target[0], literals, names
-            target, literals, names, pending = (pending, m.end()), [], [], None
-        elif kind in ("line", "comment"):
-            if target is not None and (literals or names):
-                yield target[0], literals, names
-            if m.group() != "," or target is None or literals or names:
-                target, literals, names = None, [], []
-            pending = None
-        elif kind == "string":
-            pending = m.group()[1:-1]
-            if target is not None:
-                literals.append((m.start() + 1, m.end() - 1))
-        elif kind == "name":
-            pending = m.group()
+    took: list | None = None
+    quoted = False
+    for kind, start, end in [*tokens, ("end", len(text), len(text))]:
+        target = item or owner
+        done: _Item | None = None
+        if kind == "open" and start in paired:
+            frames.append((owner, item, strings, bracket))
+            owner, item, strings, bracket, pending = target, None, 0, text[start], None
+        elif kind == "close" and start in paired:
+            done, parent = item, owner
+            owner, item, strings, bracket = frames.pop()
+        elif (kind == "sign" and text[start:end] in _SIGNS and pending is not None
+              and (target is None or (strings <= quoted if bracket else not target.literals))):
+            if took is not None:
+                took.pop()
+            done, parent = item, owner
+            item, pending, took, strings = _Item(pending), None, None, 0
+        elif kind in ("line", "comment", "end"):
+            sign, pending = text[start:end], None
+            if not bracket:
+                if sign != "," or item is None or item.any():
+                    done, parent, item = item, owner, None
+            elif kind == "line":
+                strings = 0
+                if sign != "\n" or bracket == "{" and item is not None and item.any():
+                    done, parent, item = item, owner, None
+        elif kind in ("string", "name"):
+            quoted = kind == "string"
+            pending = text[start + 1:end - 1] if quoted else text[start:end]
+            strings += quoted
+            took = None
             if target is not None:
-                names.append(m.group())
+                took = target.literals if quoted else target.names
+                took.append((start + 1, end - 1) if quoted else pending)
         elif kind == "word":
             pending = None
+            strings += 1
             if target is not None:
-                literals.append((m.start(), m.end()))
+                target.literals.append((start, end))
         elif kind == "sign":
             pending = None
-    if target is not None and (literals or names):
-        yield target[0], literals, names
+        if done is not None and done.any():
+            if parent is not None:
+                parent.inner.append(number)
+            number += 1
+            yield done.name, done.literals, done.names, done.inner
 
 
 def literal_spans(text: str) -> list[tuple[int, int, float]]:
     """(start, end, score) of literals that reach a sensitive name."""
-    holds: dict[str, list[tuple[int, int]]] = {}
+    scores: list[float] = []
+    values: list[tuple[list[tuple[int, int]], list[int]]] = []
+    holds: dict[str, int] = {}
+    for name, literals, names, inner in assignments(text):
+        used = inner + [holds[n] for n in names if n in holds]
+        if literals or used:
+            holds[name] = len(values)
+        scores.append(name_score(name))
+        values.append((literals, used))
+    # An assignment uses earlier ones only, so from the last one back each score is final when it is passed on.
     reached: dict[tuple[int, int], float] = {}
-    for name, literals, names in assignments(text):
-        value = list(literals)
-        for used in names:
-            value.extend(holds.get(used, ()))
-        if literals or any(n in holds for n in names):
-            holds[name] = value[:64]
-        score = name_score(name)
-        if score:
-            for span in value:
-                reached[span] = max(reached.get(span, 0.0), score)
+    for k in range(len(values) - 1, -1, -1):
+        if scores[k]:
+            for span in values[k][0]:
+                reached[span] = max(reached.get(span, 0.0), scores[k])
+            for j in values[k][1]:
+                scores[j] = max(scores[j], scores[k])
     out = []
     for (start, end), score in sorted(reached.items()):
         score *= literal_score(text[start:end])
