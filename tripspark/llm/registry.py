@@ -1,4 +1,4 @@
-"""Queries of the ten text operators: each applies its operator to the whole of
+"""Queries of the thirteen text operators: each applies its operator to the whole of
 its table and derives the contract's columns from the operator's output."""
 
 from __future__ import annotations
@@ -116,6 +116,18 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op12_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripspark.llm.lexical_search import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripspark.llm.filter_audit import audit
+
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_oracle() -> str:
     """Groups of equal normalised texts in DuckDB."""
     return r"""
@@ -180,6 +192,84 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id"""
 
 
+def op12_oracle() -> str:
+    """Scores of all documents for all items, by term, in DuckDB."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def words(column: str) -> str:
+        return rf"regexp_extract_all(translate(coalesce({column}, ''), '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+    return rf"""
+WITH t AS (
+  SELECT doc_id, row_number() OVER () AS r, {words("text")} AS words FROM documents
+), q AS (
+  SELECT item_id, i, term, count(*) AS times FROM (
+    SELECT item_id, i, unnest(words) AS term FROM (
+      SELECT item_id, row_number() OVER () AS i, {words("text")} AS words FROM benchmark))
+  GROUP BY item_id, i, term
+), c AS (
+  SELECT count(*) FILTER (WHERE len(words) > 0) AS n_all, CAST(sum(len(words)) AS BIGINT) AS length_all FROM t
+), p AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM t)
+  WHERE term IN (SELECT term FROM q) GROUP BY r, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_all + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM p, c GROUP BY term, n_all
+), m AS (
+  SELECT r, doc_id, 75 + (25 * len(words) * n_all) // length_all AS m FROM t, c WHERE len(words) > 0
+), s AS (
+  SELECT item_id, i, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (r) GROUP BY item_id, i, r, doc_id
+), k AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM s WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20"""
+
+
+def op13_oracle() -> str:
+    """The filters applied in all 120 orders, and sums over the orders, in DuckDB."""
+    return r"""
+WITH l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x,
+         regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+  FROM documents
+), g AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+            100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 3 * length(x),
+            regexp_matches(x, '[#$%&*|]'), coalesce(doc_id > least, false)] AS fails
+    FROM t LEFT JOIN l USING (doc_id))
+  GROUP BY part, fails
+), o AS (
+  SELECT [a.i, b.i, c.i, d.i, 15 - a.i - b.i - c.i - d.i] AS o
+  FROM range(1, 6) a(i), range(1, 6) b(i), range(1, 6) c(i), range(1, 6) d(i)
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i])) = 4
+), e AS (
+  SELECT part, o, s.i AS step, o[s.i] AS f, n, good, toxic, fails[o[s.i]] AS bad,
+         list_bool_or(list_concat([false], list_transform(o[1:s.i - 1], lambda j: fails[j]))) AS gone,
+         len(list_filter(fails, lambda b: b)) AS failed
+  FROM g, o, range(1, 6) s(i)
+), r AS (
+  SELECT part, o, step, f, coalesce(sum(n) FILTER (WHERE NOT gone AND NOT bad), 0) AS kept,
+         coalesce(sum(n) FILTER (WHERE NOT gone AND bad), 0) AS removed, coalesce(sum(n) FILTER (WHERE gone AND bad), 0) AS redundant,
+         coalesce(sum(n) FILTER (WHERE bad AND failed = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE NOT gone AND bad), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE NOT gone AND bad), 0) AS toxic_lost
+  FROM e GROUP BY part, o, step, f
+)
+SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, CAST(step AS INTEGER) AS step,
+       CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r"""
+
+
 def queries() -> dict[str, Query]:
     import corpus_pipeline
 
@@ -194,9 +284,12 @@ def queries() -> dict[str, Query]:
         "op8_word_table_bpe": op8_word_table_bpe,
         "op9_prefix_targets": op9_prefix_targets,
         "op10_cross_parsing": op10_cross_parsing,
+        "op12_best_position": op12_best_position,
+        "op13_filter_audit": op13_filter_audit,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_stateful_dedup": op3_oracle(), "op4_parity_jaccard": op4_oracle(), "op9_prefix_targets": op9_oracle()}
+    return {"op3_stateful_dedup": op3_oracle(), "op4_parity_jaccard": op4_oracle(), "op9_prefix_targets": op9_oracle(),
+            "op12_best_position": op12_oracle(), "op13_filter_audit": op13_oracle()}
