@@ -116,6 +116,15 @@ def op10_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit(docs)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op11_lexicon_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tripspark.llm.toxicity import fit, held_out, score_toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model, ("doc_id",)).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op12_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tripspark.llm.lexical_search import search
 
@@ -235,7 +244,8 @@ WITH l AS (
   FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
 ), t AS (
   SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x,
-         regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS words,
+         regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS words,
          min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
   FROM documents
 ), g AS (
@@ -284,6 +294,7 @@ def queries() -> dict[str, Query]:
         "op8_word_table_bpe": op8_word_table_bpe,
         "op9_prefix_targets": op9_prefix_targets,
         "op10_cross_parsing": op10_cross_parsing,
+        "op11_lexicon_automata": op11_lexicon_automata,
         "op12_best_position": op12_best_position,
         "op13_filter_audit": op13_filter_audit,
         "pipeline": corpus_pipeline.run,
