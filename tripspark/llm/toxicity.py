@@ -46,6 +46,7 @@ THRESHOLD = 0.7
 PIECE = 2 << 20
 #: Quotation marks open and close by turns within a line.
 _QUOTES = regex.compile('["«»‘‚“”„‹›「」]')
+_QUOTED = regex.compile(rf"{_QUOTES.pattern}[^\n{_QUOTES.pattern[1:]}*{_QUOTES.pattern}")
 _SPACE = regex.compile(r"\s")
 _WORD_END = "$"
 
@@ -149,7 +150,7 @@ def _quoted(marks: np.ndarray, lines: np.ndarray, at: int) -> bool:
 
 
 def _prefix_counts(training: Training):
-    """(prefix, toxic rows, clean rows) of the words of each batch; a whole word ends with a mark."""
+    """(prefix, toxic rows, clean rows) of the words outside quotations; a whole word ends with a mark."""
     word = regex.compile(r"[\p{L}\p{N}\p{M}]+")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +158,7 @@ def _prefix_counts(training: Training):
             counts: tuple[Counter, Counter] = Counter(), Counter()
             for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 seen = set()
-                for w in set(word.findall(fold(text or ""))):
+                for w in set(word.findall(_QUOTED.sub(" ", fold(text or "")))):
                     if len(w) >= training.word_letters:
                         seen.add(w + _WORD_END)
                     seen.update(w[:n] for n in range(training.stem_letters, len(w) + 1))
@@ -238,8 +239,8 @@ def choose_terms(found: list[tuple[str, int, int, float]], training: Training) -
 
 
 def _hit_counts(automaton: Automaton, window: int):
-    """(kind, key, label, n) of the hits in each batch: rows with a term and edits, hits with a context word,
-    quoted hits and all hits."""
+    """(kind, key, label, n) of the hits in each batch: rows that hold a term outside quotations, by its edits;
+    hits with a context word; quoted hits and others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: Counter = Counter()
@@ -247,7 +248,8 @@ def _hit_counts(automaton: Automaton, window: int):
                 rows = set()
                 for _, hits in find_hits(automaton, text or "", window):
                     for term, edits, quoted, near in hits:
-                        rows.add(f"{term}:{edits}")
+                        if not quoted:
+                            rows.add(f"{term}:{edits}")
                         counts["all", "quoted" if quoted else "", toxic] += 1
                         counts.update(("word", w, toxic) for w in set(near))
                 counts.update(("term", t, toxic) for t in rows)
@@ -365,7 +367,7 @@ def _quote_weight(every: dict[str, tuple[int, int]], training: Training) -> floa
     if not seen:
         return training.quoted
     told = math.log((tq + 1) / (cq + 1)) - math.log((tu + 1) / (cu + 1))
-    return (10 * training.quoted + seen * max(-4.0, min(4.0, told))) / (10 + seen)
+    return (10 * training.quoted + seen * max(-6.0, min(6.0, told))) / (10 + seen)
 
 
 # -- scores ------------------------------------------------------------------------
