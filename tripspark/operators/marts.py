@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripspark.operators.enrich import BROADCAST_ZONE_ROWS, join_zone_names
-from tripspark.schemas import MONEY, MONEY_SUM
+from tripspark.schemas import DAILY_CUBE, MONEY, MONEY_SUM, MONEY_TOTAL
 from tripspark.sources.readers import check_zones
 
 # Type of a revenue total over many days and boroughs.
@@ -117,12 +117,35 @@ def daily_cube(trips: DataFrame) -> DataFrame:
         F.sum("trip_duration_minutes").alias("sum_minutes"),
         F.count("trip_duration_minutes").alias("n_minutes"),
         F.sum("driver_pay").alias("sum_driver_pay"),
+        F.count("driver_pay").alias("n_driver_pay"),
         F.count_if(F.col("shared_match_flag")).alias("shared_matched_count"),
         F.count_if(F.col("wav_match_flag")).alias("wav_matched_count"),
     )
     return _date_parts(agg, day=True)
 
 
+#: Sums of the pre-aggregate, with the counts of the values that are in them.
+CUBE_SUMS = {"sum_amount": "n_amount", "sum_miles": "n_miles", "sum_minutes": "n_minutes", "sum_driver_pay": "n_driver_pay"}
+CUBE_COUNTS = ["trip_count", *CUBE_SUMS.values(), "shared_matched_count", "wav_matched_count"]
+
+
+def negated(cube: DataFrame) -> DataFrame:
+    """A pre-aggregate that takes away what ``cube`` holds when it is merged."""
+    return cube.withColumns({c: -F.col(c) for c in [*CUBE_SUMS, *CUBE_COUNTS]})
+
+
+def merge_cubes(cubes: DataFrame) -> DataFrame:
+    """One pre-aggregate from the rows of several, some of them perhaps negated.
+
+    The measures are exact and additive, so the result is the pre-aggregate of the
+    trips added and not taken back: groups without trips vanish, and a sum over no
+    values is NULL again."""
+    agg = cubes.groupBy(*CUBE_KEYS).agg(
+        *[F.sum(c).alias(c) for c in CUBE_COUNTS],
+        *[F.when(F.sum(n) > 0, F.sum(c)).cast(MONEY_TOTAL).alias(c) for c, n in CUBE_SUMS.items()])
+    return _date_parts(agg.filter("trip_count > 0"), day=True).select(*DAILY_CUBE.fieldNames())
+
+
 def _avg_from_sums(total: str, n: str) -> Column:
     """``avg`` of a decimal(10,2) column rebuilt from its exact sum and count.
 
@@ -201,6 +224,26 @@ def compression_report(cube: DataFrame, borough: DataFrame, zone: DataFrame,
         (F.try_divide(F.col("row_count").cast("double"), base.cast("double")) * F.lit(100.0)).alias("pct_of_curated"))
 
 
+def total_overflows(cube: DataFrame, zones: DataFrame, zone_rows: int | None = None,
+                    broadcast_limit: int = BROADCAST_ZONE_ROWS) -> DataFrame:
+    """How many totals of each mart are beyond decimal(12,2), hence NULL in the mart.
+
+    The totals are added up in the pre-aggregate's wide decimals and compared with what the
+    mart can hold: (table_name, total_name, overflow_count)."""
+    named = join_zone_names(cube, zones, zone_rows, broadcast_limit)
+    given = [("daily_borough", named, BOROUGH_KEYS, {"total_revenue": "sum_amount", "total_distance": "sum_miles"}),
+             ("daily_zone", cube, ZONE_KEYS, {"total_revenue": "sum_amount", "total_driver_pay": "sum_driver_pay"}),
+             ("daily_service", cube, SERVICE_KEYS, {"total_revenue": "sum_amount"})]
+    out = None
+    for table, rows, keys, totals in given:
+        wide = rows.groupBy(*keys).agg(*[F.sum(c).alias(name) for name, c in totals.items()])
+        lost = wide.agg(*[F.count_if(F.col(t).isNotNull() & F.col(t).try_cast(MONEY_SUM).isNull()).alias(t) for t in totals])
+        part = lost.unpivot([], list(totals), "total_name", "overflow_count").select(
+            F.lit(table).alias("table_name"), "total_name", "overflow_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _top(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 

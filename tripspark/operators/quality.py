@@ -79,6 +79,26 @@ def rejected(curated: DataFrame) -> DataFrame:
             .withColumn("failed_rules", F.concat_ws(",", *names)))
 
 
+OUTCOME, VALID, REJECTED = "outcome", "valid", "rejected"
+
+
+def split_outcomes(curated: DataFrame) -> DataFrame:
+    """F1 and F3 in one pass: every row with ``failed_rules`` (NULL if none) and its ``outcome``,
+    by which one write sends valid and rejected rows to folders of their own."""
+    names = [F.when(~F.coalesce(p, F.lit(False)), F.lit(n)) for n, p in validation_rules().items()]
+    told = curated.withColumn("failed_rules", F.nullif(F.concat_ws(",", *names), F.lit("")))
+    return told.withColumn(OUTCOME, F.when(F.col("failed_rules").isNull(), VALID).otherwise(REJECTED))
+
+
+def outcome_metrics(outcomes: DataFrame) -> DataFrame:
+    """F2 and F3 of rows that were split: initial, valid and rejected counts, and how many rows
+    failed each rule (a map; a row may fail several). One row."""
+    fails = [F.count_if(F.array_contains(F.split("failed_rules", ","), name)).alias(name) for name in validation_rules()]
+    agg = outcomes.agg(F.count(F.lit(1)).alias("initial_count"), F.count_if(F.col(OUTCOME) == VALID).alias("valid_count"), *fails)
+    return agg.select("initial_count", "valid_count", (F.col("initial_count") - F.col("valid_count")).alias("rejected_count"),
+                      F.create_map(*[x for name in validation_rules() for x in (F.lit(name), F.col(name))]).alias("rejects"))
+
+
 def rejects_by_rule(curated: DataFrame) -> DataFrame:
     """for each rule, how many rows fail it (a row may fail several),
     plus the number of rejected rows overall (``rule = 'any'``).

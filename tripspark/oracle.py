@@ -346,9 +346,21 @@ FROM (SELECT trip_date, CAST(sum(trip_count) AS BIGINT) AS trip_count,
     q["catalog_repair"] = _with("raw", """
 SELECT DISTINCT 'year=' || CAST(year AS VARCHAR) || '/month=' || lpad(CAST(month AS VARCHAR), 2, '0') AS partition
 FROM raw""")
+    # Totals beyond decimal(12,2), from sums in wide decimals.
+    wide = [("daily_borough", "trip_date, day_of_week, is_weekend, pickup_borough, dropoff_borough",
+             {"total_revenue": "total_amount", "total_distance": "trip_miles"}),
+            ("daily_zone", "trip_date, PULocationID, DOLocationID, is_airport_trip",
+             {"total_revenue": "total_amount", "total_driver_pay": "driver_pay"}),
+            ("daily_service", "trip_date, day_of_week, is_weekend, shared_request_flag, wav_request_flag",
+             {"total_revenue": "total_amount"})]
+    q["mart_overflows"] = _with("enriched", "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, '{total}' AS total_name, count(*) FILTER (WHERE abs(s) > 9999999999.99) AS overflow_count "
+        f"FROM (SELECT sum({column}) AS s FROM enriched GROUP BY {keys}) g"
+        for table, keys, totals in wide for total, column in totals.items()))
     # Pipelines.
     q["landed_roundtrip"] = q["raw_scan"]
     q["pipeline_curated"] = q["validate_trips"]
+    q["pipeline_rejects"] = q["rejected_trips"]
     q["pipeline_metrics"] = q["validation_metrics"]
     q["pipeline_borough"], q["pipeline_zone"], q["pipeline_service"] = q["daily_borough"], q["daily_zone"], q["daily_service"]
     q["pipeline_counts"] = f"SELECT table_name, row_count FROM ({q['compression_report']}) r"
@@ -382,6 +394,10 @@ WHERE NOT EXISTS (SELECT 1 FROM periods p WHERE p.year = year(w.d) AND p.month =
     q["incremental_borough"] = q["daily_borough"]
     q["incremental_zone"] = q["daily_zone"]
     q["incremental_service"] = q["daily_service"]
+    q["incremental_quarantine"] = q["rejected_trips"]
+    q["incremental_metrics"] = q["validation_metrics"]
+    q["incremental_rejects"] = q["rejects_by_rule"]
+    q["incremental_catalog"] = q["daily_zone"]
     q["incremental_late_mtime"] = q["validate_trips"]
     q["incremental_rebuild"] = q["daily_service"]
     q["incremental_refresh"] = q["daily_borough"]

@@ -17,6 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tripspark import fixtures, oracle
 from tripspark.operators import landing
@@ -24,19 +25,19 @@ from tripspark.operators.curate import curate, preview
 from tripspark.operators.enrich import enrich
 from tripspark.operators.marts import (borough_from_cube, compression_report, daily_cube, daily_service,
                                        daily_zone, service_from_cube, service_match_rate,
-                                       service_ordered, top_boroughs, top_routes, weekend_revenue,
+                                       service_ordered, top_boroughs, top_routes, total_overflows, weekend_revenue,
                                        zone_from_cube)
 from tripspark.operators.quality import (column_profile, dataset_overview, license_distribution, rejected,
                                          rejects_by_rule, validate, validation_metrics)
 from tripspark.plans import pipelines
-from tripspark.schemas import DAILY_BOROUGH, DAILY_CUBE, DAILY_SERVICE, DAILY_ZONE
+from tripspark.schemas import CURATED, DAILY_BOROUGH, DAILY_CUBE, DAILY_SERVICE, DAILY_ZONE, with_column
 from tripspark.session import list_files, new_scratch_dir, set_modification_time
 from tripspark.sinks.writers import (land, write_curated, write_daily_borough, write_daily_service,
                                      write_daily_zone)
 from tripspark.sources.readers import (check_zones, create_external_raw_table, has_rows, read_curated, read_mart,
                                        read_raw, read_table, read_zones, repair_partitions)
-from tripspark.streaming.incremental import (IncrementalPipeline, StreamIdentityError,
-                                             read_incremental_curated)
+from tripspark.streaming.incremental import (IncrementalPipeline, StreamIdentityError, incremental_rejects,
+                                             incremental_totals, read_incremental_curated, read_quarantine)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,6 +93,14 @@ def compression_report_q(spark: SparkSession, sf: str) -> DataFrame:
                               service_from_cube(cube))
 
 
+def mart_overflows(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals that are too large for their mart, counted from one written daily pre-aggregate."""
+    z, n = zones(spark, sf)
+    path = new_scratch_dir(spark, "cube")
+    daily_cube(valid(spark, sf)).write.parquet(path)
+    return total_overflows(spark.read.schema(DAILY_CUBE).parquet(path), z, n)
+
+
 # -- sinks: write then read back ------------------------------------------------
 
 def curated_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,6 +146,15 @@ def pipeline_metrics(spark: SparkSession, sf: str) -> DataFrame:
                                  "initial_count bigint, valid_count bigint, rejected_count bigint, rejection_rate_pct double")
 
 
+def pipeline_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """F3 as the quarantine that C1's one write fills beside the curated table."""
+    path = new_scratch_dir(spark, "pipeline")
+    pipelines.raw_to_curated(spark, fixtures.raw_path(spark, sf), f"{path}/curated", processed_at=processed_at(),
+                             rejects_path=f"{path}/rejects")
+    schema = with_column(CURATED, "failed_rules", StringType())
+    return spark.read.schema(schema).parquet(f"{path}/rejects").select(*schema.fieldNames())
+
+
 def _c2(spark: SparkSession, sf: str) -> tuple[str, dict[str, int]]:
     path, _ = _c1(spark, sf)
     return path, pipelines.curated_to_aggregated(spark, f"{path}/curated", fixtures.zone_csv_path(spark, sf), path)
@@ -226,7 +244,7 @@ def incremental_pieces(raw_df: DataFrame) -> list[DataFrame]:
 
 def incremental_run(spark: SparkSession, sf: str) -> IncrementalPipeline:
     """Land the fixture in three pieces and run the stream after each (once per
-    application and input; the four ``incremental_*`` queries share it)."""
+    application and input; the ``incremental_*`` queries that read its tables share it)."""
     key = (spark.sparkContext.applicationId, sf)
     with _INCREMENTAL_LOCK:
         if key not in _INCREMENTAL:
@@ -277,6 +295,19 @@ def incremental_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return read_mart(spark, again.service_path, DAILY_SERVICE)
 
 
+def incremental_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 from a catalog table: its location, schema and new partitions, landed in two pieces; zone mart."""
+    src, parts = new_scratch_dir(spark, "incr-landing"), incremental_pieces(raw(spark, sf))
+    land(parts[0], src, mode="append")
+    table = f"incr_trips_{hashlib.sha1(src.encode()).hexdigest()[:10]}"
+    create_external_raw_table(spark, table, src)
+    pipe = dataclasses.replace(_fresh_pipeline(spark, sf), raw_table=table)
+    pipe.run()
+    land(parts[1].unionByName(parts[2]), src, mode="append")
+    pipe.run()
+    return read_mart(spark, pipe.zone_path, DAILY_ZONE)
+
+
 def incremental_refresh(spark: SparkSession, sf: str) -> DataFrame:
     """The newest year is landed with part of its rows first, then again in full, and the folders
     are merged: borough mart."""
@@ -326,6 +357,7 @@ def queries() -> dict[str, Query]:
         "daily_zone": zone_mart,
         "daily_service": service,
         "compression_report": compression_report_q,
+        "mart_overflows": mart_overflows,
         "top_boroughs": lambda s, sf: top_boroughs(borough(s, sf)),
         "top_routes": lambda s, sf: top_routes(zone_mart(s, sf)),
         "service_ordered": lambda s, sf: service_ordered(service(s, sf)),
@@ -340,6 +372,7 @@ def queries() -> dict[str, Query]:
         # pipelines
         "pipeline_curated": pipeline_curated,
         "pipeline_metrics": pipeline_metrics,
+        "pipeline_rejects": pipeline_rejects,
         "pipeline_counts": pipeline_counts,
         "pipeline_borough": _pipeline_mart("daily_borough", DAILY_BOROUGH),
         "pipeline_zone": _pipeline_mart("daily_zone", DAILY_ZONE),
@@ -363,6 +396,10 @@ def queries() -> dict[str, Query]:
         "incremental_borough": _incremental_mart("borough_path", DAILY_BOROUGH),
         "incremental_zone": _incremental_mart("zone_path", DAILY_ZONE),
         "incremental_service": _incremental_mart("service_path", DAILY_SERVICE),
+        "incremental_quarantine": lambda s, sf: read_quarantine(s, incremental_run(s, sf).curated_path),
+        "incremental_metrics": lambda s, sf: incremental_totals(incremental_run(s, sf).metrics()),
+        "incremental_rejects": lambda s, sf: incremental_rejects(incremental_run(s, sf).metrics()),
+        "incremental_catalog": incremental_catalog,
         "incremental_late_mtime": incremental_late_mtime,
         "incremental_rebuild": incremental_rebuild,
         "incremental_refresh": incremental_refresh,

@@ -164,6 +164,7 @@ DAILY_CUBE = _struct(
     ("sum_minutes", MONEY_TOTAL),
     ("n_minutes", LongType()),
     ("sum_driver_pay", MONEY_TOTAL),
+    ("n_driver_pay", LongType()),
     ("shared_matched_count", LongType()),
     ("wav_matched_count", LongType()),
     ("year", IntegerType()),

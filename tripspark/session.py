@@ -82,8 +82,7 @@ def scratch_root(spark: SparkSession) -> str:
     if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="tripspark-ckpt-")
-    spark.sparkContext.setCheckpointDir(root)
-    spark.conf.set("spark.checkpoint.dir", root)
+    spark.sparkContext.setCheckpointDir(root)  # where the next call finds it
     return root
 
 
@@ -146,6 +145,26 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
+def publish(spark: SparkSession, source: str, target: str) -> None:
+    """Put a complete folder or file in the place of ``target`` by renaming it; readers see the old
+    one, none, or the new one, but never a part. Both must be in one file system."""
+    fs, there = _hadoop_path(spark, target)
+    fs.delete(there, True)
+    fs.mkdirs(there.getParent())
+    if not fs.rename(_hadoop_path(spark, source)[1], there):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
+def same_file_system(spark: SparkSession, a: str, b: str) -> bool:
+    return str(_hadoop_path(spark, a)[0].getUri().toString()) == str(_hadoop_path(spark, b)[0].getUri().toString())
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it is not there."""
+    fs, p = _hadoop_path(spark, path)
+    return sorted(str(s.getPath().getName()) for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def same_path(spark: SparkSession, path: str) -> str:
     """One spelling of a path: scheme and authority added, no trailing slash."""
     fs, p = _hadoop_path(spark, path)

@@ -12,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripspark.operators.quality import OUTCOME, REJECTED, VALID
+from tripspark.session import delete_path, path_exists, publish, same_file_system
+
 CURATED_PARTITIONS = ("year", "month", "day")
 BOROUGH_PARTITIONS = ("year", "month")
 ZONE_PARTITIONS = ("year", "month", "day")
@@ -19,14 +22,16 @@ SERVICE_PARTITIONS = ("year", "month")
 
 
 def write_partitioned(df: DataFrame, path: str, partitions: tuple[str, ...] | list[str],
-                      dynamic: bool = False, rebalance: bool = True) -> None:
+                      dynamic: bool = False, rebalance: bool = True, order: tuple[str, ...] = ()) -> None:
     """Overwrite ``path`` with ``df`` laid out as ``k=v/`` directories.
 
     ``dynamic=True`` replaces only the partitions present in ``df`` (per-write
     option, not a session setting); otherwise the whole table is replaced, like
-    the reference's batch jobs.
+    the reference's batch jobs. ``order`` sorts the rows within each file.
     """
     out = df.hint("rebalance", *partitions) if rebalance else df
+    if order:
+        out = out.sortWithinPartitions(*partitions, *order)
     w = out.write.mode("overwrite").partitionBy(*partitions)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -42,6 +47,34 @@ def write_curated(df: DataFrame, path: str, dynamic: bool = False, rebalance: bo
     write_partitioned(df, path, CURATED_PARTITIONS, dynamic=dynamic, rebalance=rebalance)
 
 
+def write_outcomes(outcomes: DataFrame, curated_path: str, rejects_path: str, rebalance: bool = True) -> None:
+    """K1 and the quarantine of F3 by one write: rows are dealt by their outcome to a staging
+    folder beside the curated table, whose two folders then take the tables' places.
+
+    Valid rows carry a NULL ``failed_rules`` in the files, which the curated schema leaves out."""
+    spark = outcomes.sparkSession
+    if not same_file_system(spark, curated_path, rejects_path):
+        raise ValueError("curated and rejected rows must go to one file system")
+    parent, _, name = curated_path.rstrip("/").rpartition("/")
+    staging = f"{parent}/_staging_{name}"
+    write_partitioned(outcomes, staging, (OUTCOME, *CURATED_PARTITIONS), rebalance=rebalance)
+    for outcome, path in ((VALID, curated_path), (REJECTED, rejects_path)):
+        folder = f"{staging}/{OUTCOME}={outcome}"
+        if path_exists(spark, folder):
+            publish(spark, folder, path)
+        else:  # no such rows: an empty table
+            outcomes.drop(OUTCOME).limit(0).write.mode("overwrite").parquet(path)
+    delete_path(spark, staging)
+
+
+def write_batch(df: DataFrame, table: str, folder: str, partitions: tuple[str, ...], order: tuple[str, ...]) -> None:
+    """One new folder of a table (``batch_id=5``), replaced as a whole if the batch is written
+    again. Files are by ``partitions`` and sorted within by ``order``, so that Parquet's
+    statistics prune on those columns without folders of their own."""
+    out = df.hint("rebalance", *partitions).sortWithinPartitions(*partitions, *order)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partitions).parquet(f"{table}/{folder}")
+
+
 def write_daily_borough(df: DataFrame, path: str, dynamic: bool = False) -> None:
     """K2: borough mart by year/month."""
     write_partitioned(df, path, BOROUGH_PARTITIONS, dynamic=dynamic)

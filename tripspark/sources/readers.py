@@ -115,6 +115,14 @@ def create_external_raw_table(spark: SparkSession, name: str, path: str) -> None
               f"PARTITIONED BY (year, month) LOCATION '{path}'")
 
 
+def table_source(spark: SparkSession, table: str) -> tuple[str, StructType]:
+    """Location and schema of a partitioned file table in the catalog."""
+    told = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if not told.get("Location"):
+        raise ValueError(f"table {table} has no location that could be streamed")
+    return told["Location"], spark.table(table).schema
+
+
 def read_mart(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read back a mart written by the sinks (partition columns from paths)."""
     return spark.read.schema(schema).parquet(path)
