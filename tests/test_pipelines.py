@@ -58,3 +58,75 @@ def test_profile_covers_columns_that_only_some_files_have(spark, sf_small):
     m = pipelines.raw_to_curated(spark, path, f"{new_scratch_dir(spark, 'c1cbd')}/curated", profile=True,
                                  cbd_column=fixtures.CBD_COLUMN)
     assert m["raw_columns"] == 27 and 0 < m["raw_null_counts"][fixtures.CBD_COLUMN] < m["raw_rows"]
+
+
+def test_quarantine_comes_from_the_same_write(spark, sf_small, monkeypatch):
+    """The raw trips are read by one write, for both tables; an outcome without rows gives an empty table."""
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tripspark.operators.curate import curate
+    from tripspark.operators.quality import rejected, split_outcomes
+    from tripspark.sinks import writers
+
+    writes, real = [], writers.write_partitioned
+    monkeypatch.setattr(writers, "write_partitioned", lambda df, path, *a, **k: writes.append(path) or real(df, path, *a, **k))
+    out = new_scratch_dir(spark, "c1split")
+    pipelines.raw_to_curated(spark, fixtures.raw_path(spark, sf_small), f"{out}/curated", processed_at=registry.processed_at(),
+                             rejects_path=f"{out}/bad/rejects")
+    assert len(writes) == 1 and sorted(os.listdir(out)) == ["bad", "curated"]
+    curated = registry.curated(spark, sf_small)
+    assert same(read_curated(spark, f"{out}/curated"), registry.valid(spark, sf_small))
+    assert same(spark.read.schema(rejected(curated).schema).parquet(f"{out}/bad/rejects"), rejected(curated))
+    # again, with valid rows only: both tables are replaced
+    good = curate(registry.raw(spark, sf_small), processed_at=registry.processed_at()).filter(F.col("trip_miles") >= 0)
+    only = split_outcomes(good).filter("outcome = 'valid'")
+    writers.write_outcomes(only, f"{out}/curated", f"{out}/bad/rejects")
+    assert spark.read.parquet(f"{out}/bad/rejects").count() == 0 and read_curated(spark, f"{out}/curated").count() == only.count()
+
+
+def test_totals_beyond_their_type_are_counted(spark, sf_small):
+    """A total above 9,999,999,999.99 is NULL in its mart, and the report says how many are."""
+    from pyspark.sql import functions as F
+
+    z, n = registry.zones(spark, sf_small)
+    trips = registry.valid(spark, sf_small).limit(1).drop("total_amount", "driver_pay", "trip_miles").crossJoin(
+        spark.range(120).select(F.lit(99_999_999.99).cast("decimal(10,2)").alias("total_amount"),
+                                F.lit(83_333_333.33).cast("decimal(10,2)").alias("driver_pay"),
+                                F.lit(1).cast("decimal(10,2)").alias("trip_miles")))
+    cube = marts.daily_cube(trips)
+    assert marts.borough_from_cube(cube, z, n).first()["total_revenue"] is None
+    zone = marts.zone_from_cube(cube, z, n).first()
+    assert zone["total_revenue"] is None and str(zone["total_driver_pay"]) == "9999999999.60"
+    counts = {(r["table_name"], r["total_name"]): r["overflow_count"] for r in marts.total_overflows(cube, z, n).collect()}
+    assert counts == {("daily_borough", "total_revenue"): 1, ("daily_borough", "total_distance"): 0,
+                      ("daily_zone", "total_revenue"): 1, ("daily_zone", "total_driver_pay"): 0, ("daily_service", "total_revenue"): 1}
+    assert marts.total_overflows(registry.curated(spark, sf_small).limit(0).transform(marts.daily_cube), z, n).filter(
+        "overflow_count > 0").count() == 0
+
+
+def test_counted_overflows_of_a_run(spark, sf_small):
+    out = new_scratch_dir(spark, "c2over")
+    pipelines.raw_to_curated(spark, fixtures.raw_path(spark, sf_small), f"{out}/curated")
+    counts = pipelines.curated_to_aggregated(spark, f"{out}/curated", fixtures.zone_csv_path(spark, sf_small), f"{out}/agg",
+                                             count_overflows=True)
+    assert {k: v for k, v in counts.items() if k.startswith("overflows:")} == {
+        f"overflows:{t}": 0 for t in ("daily_borough.total_revenue", "daily_borough.total_distance", "daily_zone.total_revenue",
+                                      "daily_zone.total_driver_pay", "daily_service.total_revenue")}
+
+
+def test_merged_and_negated_pre_aggregates(spark, sf_small):
+    """Pre-aggregates of pieces merge to that of all; a piece that is taken away leaves no trace."""
+    from pyspark.sql import functions as F
+
+    valid = registry.valid(spark, sf_small)
+    part = F.pmod(F.xxhash64("request_datetime", "PULocationID"), F.lit(3))
+    gaps = valid.withColumn("total_amount", F.when(part != 1, F.col("total_amount")))  # groups whose sums are NULL
+    whole = marts.daily_cube(gaps).select(*marts.DAILY_CUBE.fieldNames())
+    pieces = [marts.daily_cube(gaps.filter(part == k)) for k in range(3)]
+    assert same(marts.merge_cubes(pieces[0].unionByName(pieces[1]).unionByName(pieces[2])), whole)
+    back = marts.merge_cubes(whole.unionByName(marts.negated(pieces[0])))
+    assert same(back, marts.merge_cubes(pieces[1].unionByName(pieces[2])))
+    assert back.filter("n_amount = 0 AND sum_amount IS NOT NULL").count() == 0
+    assert marts.merge_cubes(whole.unionByName(marts.negated(whole))).count() == 0

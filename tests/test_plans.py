@@ -89,3 +89,15 @@ def test_projection_prunes_columns(spark, sf_small):
     text = inspect.plan_text(preview(registry.valid(spark, sf_small)))
     read = text[text.index("ReadSchema"):].split("\n")[0]
     assert "driver_pay" not in read and "dispatching_base_num" not in read and "on_scene_datetime" not in read
+
+
+def test_one_scan_splits_valid_and_rejected_rows(spark, sf_small):
+    """C1 with a quarantine scans raw once and computes the rules once; the write deals rows by outcome."""
+    from tripspark.operators.quality import split_outcomes
+
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = inspect.executed_plan(split_outcomes(registry.curated(spark, sf_small)).hint("rebalance", "outcome", "year"))
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("FileScan") == 1 and plan.count("concat_ws") == 1

@@ -6,7 +6,7 @@
     python -m tripspark.cli incremental --raw R --zones Z --out O [--max-files-per-trigger N]
                                            [--cbd-column NAME] [--checkpoint D] [--rebuild | --compact]
     python -m tripspark.cli landing --raw R --mode historical|current [--as-of YYYY-MM-DD]
-                                    [--base-year 2024] [--strict-reference] --marker M
+                                    [--base-year 2024] [--strict-reference] --marker M [--source S]
 
 Paths are parameters (any Hadoop-compatible URI). Each job prints one JSON
 line with its counts. The stream checkpoint of ``incremental`` lives under
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tripspark.operators import landing
 from tripspark.plans.pipelines import curated_to_aggregated, raw_to_curated
 from tripspark.session import build_session, same_path
+from tripspark.sinks.ledger import duplicate_files_skipped, land_files
 from tripspark.streaming.incremental import IncrementalPipeline
 
 TOP_LICENSES = 100
@@ -63,6 +64,7 @@ def main(argv: list[str] | None = None) -> dict:
     d.add_argument("--strict-reference", action="store_true")
     d.add_argument("--marker", required=True, help="folder of the marker ingestion.done")
     d.add_argument("--job-run-id", default="unknown")
+    d.add_argument("--source", default=None, help="first land this folder's monthly files, skipping those in the ledger")
     args = ap.parse_args(argv)
 
     spark = build_session(master=args.master, shuffle_partitions=None)
@@ -72,7 +74,7 @@ def main(argv: list[str] | None = None) -> dict:
         if "licenses" in out:  # any number of dirty values: the job prints the most frequent ones
             out["licenses"] = {r["hvfhs_license_num"]: r["count"] for r in out["licenses"].limit(TOP_LICENSES).collect()}
     elif args.job == "curated-to-aggregated":
-        out = curated_to_aggregated(spark, args.curated, args.zones, args.out)
+        out = curated_to_aggregated(spark, args.curated, args.zones, args.out, count_overflows=True)
     elif args.job == "incremental":
         # stable per output folder: the checkpoint is the bookmark between runs
         key = hashlib.sha1(same_path(spark, args.out).encode()).hexdigest()[:16]
@@ -87,6 +89,7 @@ def main(argv: list[str] | None = None) -> dict:
             out["folders"] = pipe.compact()
     else:
         as_of = _dt.date.fromisoformat(args.as_of) if args.as_of else None
+        skipped = duplicate_files_skipped(land_files(spark, args.source, args.raw)) if args.source else 0
         landed = landing.landed_periods(spark, args.raw)
         latest = landing.resolve_latest(landed, as_of)
         if args.mode == "current":
@@ -94,7 +97,8 @@ def main(argv: list[str] | None = None) -> dict:
         else:
             chosen = landing.select_historical(landed, latest, args.base_year, args.strict_reference)
         manifest = landing.landing_manifest(spark, args.raw).join(chosen, ["year", "month"], "left_semi")
-        record = landing.manifest_record(manifest, args.mode, latest, job_run_id=args.job_run_id)
+        record = landing.manifest_record(manifest, args.mode, latest, job_run_id=args.job_run_id,
+                                         duplicate_files_skipped=skipped)
         out = {"latest": f"{latest[0]:04d}-{latest[1]:02d}", "marker": landing.write_manifest(record, args.marker)}
     print(json.dumps(out, default=str))
     return out

@@ -374,6 +374,19 @@ FROM (SELECT unnest(generate_series(hi, hi + to_months(CAST(n - 1 AS INTEGER)),
       FROM (SELECT max(make_date(year, month, 1)) AS hi, count(*) AS n FROM periods) b) s""")
     q["landing_row_counts"] = _with("raw", """
 SELECT year, month, printf('%04d-%02d', year, month) AS period, count(*) AS row_count FROM raw GROUP BY year, month""")
+    # Two runs: rows up to the middle month (some of its rows come later), then that month and those after it.
+    q["landing_ledger"] = "WITH " + RAW + """, m AS (
+  SELECT year * 12 + month AS i, CAST(floor((min(year * 12 + month) OVER () + max(year * 12 + month) OVER ()) / 2) AS BIGINT) AS mid,
+         trip_time % 4 = 0 AS late FROM raw
+)
+SELECT 1 AS run, count(DISTINCT i) AS months_landed, CAST(0 AS BIGINT) AS months_skipped, count(DISTINCT i) AS files_landed,
+       CAST(0 AS BIGINT) AS duplicate_files_skipped, count(*) AS rows_landed
+FROM m WHERE i < mid OR (i = mid AND NOT late)
+UNION ALL
+SELECT 2, count(DISTINCT i) FILTER (WHERE i >= mid), count(DISTINCT i) FILTER (WHERE i < mid),
+       count(DISTINCT (i, i = mid AND NOT late)) FILTER (WHERE i >= mid), count(DISTINCT i) FILTER (WHERE i < mid),
+       count(*) FILTER (WHERE i >= mid)
+FROM m"""
     q["period_sequence"] = _with("raw", """
 SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, strftime(d, '%Y-%m') AS period
 FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS d

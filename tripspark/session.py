@@ -81,9 +81,8 @@ def scratch_root(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    root = tempfile.mkdtemp(prefix="tripspark-ckpt-")
-    spark.sparkContext.setCheckpointDir(root)  # where the next call finds it
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tripspark-ckpt-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")  # as the next call finds it
 
 
 def new_scratch_dir(spark: SparkSession, kind: str) -> str:
