@@ -1,7 +1,7 @@
 """Command-line jobs (the batch and incremental entry points).
 
     python -m tripspark.cli raw-to-curated --raw R --curated C [--rejects Q] [--profile]
-                                           [--cbd-column NAME] [--no-rebalance]
+                                           [--licenses L] [--cbd-column NAME] [--no-rebalance]
     python -m tripspark.cli curated-to-aggregated --curated C --zones Z --out O
     python -m tripspark.cli incremental --raw R --zones Z --out O [--max-files-per-trigger N]
                                            [--cbd-column NAME] [--checkpoint D] [--rebuild | --compact]
@@ -40,6 +40,7 @@ def main(argv: list[str] | None = None) -> dict:
     a.add_argument("--curated", required=True)
     a.add_argument("--rejects", default=None, help="also write rejected rows with their failed rules here")
     a.add_argument("--profile", action="store_true", help="add raw NULL counts and license distribution")
+    a.add_argument("--licenses", default=None, help="with --profile: write the whole license distribution here")
     a.add_argument("--cbd-column", default=None, help="raw column with the congestion fee")
     a.add_argument("--no-rebalance", action="store_true", help="write without the shuffle that evens out files")
     b = sub.add_parser("curated-to-aggregated")
@@ -71,6 +72,8 @@ def main(argv: list[str] | None = None) -> dict:
     if args.job == "raw-to-curated":
         out = raw_to_curated(spark, args.raw, args.curated, rejects_path=args.rejects, profile=args.profile,
                              cbd_column=args.cbd_column, rebalance=not args.no_rebalance)
+        if "licenses" in out and args.licenses:
+            out["licenses"].write.mode("overwrite").parquet(args.licenses)
         if "licenses" in out:  # any number of dirty values: the job prints the most frequent ones
             out["licenses"] = {r["hvfhs_license_num"]: r["count"] for r in out["licenses"].limit(TOP_LICENSES).collect()}
     elif args.job == "curated-to-aggregated":

@@ -387,6 +387,14 @@ SELECT 2, count(DISTINCT i) FILTER (WHERE i >= mid), count(DISTINCT i) FILTER (W
        count(DISTINCT (i, i = mid AND NOT late)) FILTER (WHERE i >= mid), count(DISTINCT i) FILTER (WHERE i < mid),
        count(*) FILTER (WHERE i >= mid)
 FROM m"""
+    q["landing_marker"] = _with("landing", """
+SELECT 'historical' AS job_type, min(printf('%04d-%02d', year, month)) AS data_period,
+       max(printf('%04d-%02d', year, month)) AS data_period_end, count(*) AS total_rows,
+       (SELECT printf('%04d-%02d', p.y, p.m) FROM latest) AS latest_available_month, 2 AS publication_delay_months,
+       CAST(count(DISTINCT year * 12 + month) FILTER (WHERE year * 12 + month <
+         floor(((SELECT min(year * 12 + month) FROM raw) + (SELECT max(year * 12 + month) FROM raw)) / 2)) AS INTEGER)
+         AS duplicate_files_skipped, 'SUCCESS' AS status
+FROM raw""")
     q["period_sequence"] = _with("raw", """
 SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, strftime(d, '%Y-%m') AS period
 FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS d

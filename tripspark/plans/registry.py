@@ -32,7 +32,7 @@ from tripspark.operators.quality import (column_profile, dataset_overview, licen
 from tripspark.plans import pipelines
 from tripspark.schemas import CURATED, DAILY_BOROUGH, DAILY_CUBE, DAILY_SERVICE, DAILY_ZONE, with_column
 from tripspark.session import list_files, new_scratch_dir, set_modification_time
-from tripspark.sinks.ledger import land_files, read_ledger, run_summary
+from tripspark.sinks.ledger import duplicate_files_skipped, land_files, read_ledger, run_summary
 from tripspark.sinks.writers import (land, write_curated, write_daily_borough, write_daily_service,
                                      write_daily_zone)
 from tripspark.sources.readers import (check_zones, create_external_raw_table, has_rows, read_curated, read_mart,
@@ -224,9 +224,9 @@ def missing_periods_q(spark: SparkSession, sf: str) -> DataFrame:
     return landing.missing_periods(wanted, have)
 
 
-def landing_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    """Monthly files landed in two runs; before the second, later months arrive and the middle
-    one, of which a part was there, gets a further file."""
+def _landed_twice(spark: SparkSession, sf: str) -> str:
+    """Monthly files landed in two runs; before the second, later months arrive and the middle one, of which
+    a part was there, gets a further file. Returns the landing folder."""
     folder, r = new_scratch_dir(spark, "ledger"), raw(spark, sf)
     idx = F.col("year") * 12 + F.col("month")
     b = r.agg(F.min(idx).alias("lo"), F.max(idx).alias("hi")).first()
@@ -236,7 +236,23 @@ def landing_ledger(spark: SparkSession, sf: str) -> DataFrame:
         named = piece.withColumn("period", F.format_string("%04d-%02d", "year", "month")).drop("year", "month")
         named.repartition("period").write.mode("append").partitionBy("period").parquet(f"{folder}/source")
         land_files(spark, f"{folder}/source", f"{folder}/raw")
-    return run_summary(read_ledger(spark, f"{folder}/raw"))
+    return f"{folder}/raw"
+
+
+def landing_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """What two runs landed and skipped."""
+    return run_summary(read_ledger(spark, _landed_twice(spark, sf)))
+
+
+def landing_marker(spark: SparkSession, sf: str) -> DataFrame:
+    """The fields of the second run's marker that don't depend on time or file sizes."""
+    path = _landed_twice(spark, sf)
+    last = read_ledger(spark, path).filter(F.col("run") == 2)
+    record = landing.manifest_record(
+        landing.landing_manifest(spark, path), "historical", landing.resolve_latest(landing.landed_periods(spark, path), AS_OF),
+        duplicate_files_skipped=duplicate_files_skipped(last))
+    return record.select("job_type", "data_period", "data_period_end", "total_rows", "latest_available_month",
+                         "publication_delay_months", "duplicate_files_skipped", "status")
 
 
 # -- incremental ------------------------------------------------------------------
@@ -407,6 +423,7 @@ def queries() -> dict[str, Query]:
         "missing_periods": missing_periods_q,
         "landing_manifest": lambda s, sf: landing.landing_manifest(s, fixtures.raw_path(s, sf)),
         "landing_ledger": landing_ledger,
+        "landing_marker": landing_marker,
         "landing_row_counts": lambda s, sf: landing.month_row_counts(s, fixtures.raw_path(s, sf)),
         # incremental (stream in three landings) == batch
         "incremental_curate": lambda s, sf: read_incremental_curated(s, incremental_run(s, sf).curated_path),
