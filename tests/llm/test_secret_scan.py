@@ -123,3 +123,20 @@ def test_cases(docs, empty_docs, spark):
 def test_long_inputs_take_linear_time():
     for t in ('"' * 200_000, "a=" * 100_000, "key=" + "a+" * 100_000, "x." * 100_000 + "=pwd", "\\" * 100_000 + "=key"):
         op.scan(t)
+
+
+def test_many_base_spans_and_literals_take_linear_time():
+    """Literals are told from the base spans that hold them as by trying all; 20,000 of either take seconds."""
+    import time
+
+    def text(n):
+        return "\n".join(f'password = "Zx9{i:06d}qW7"\nsigning_key_{i} = "aB3$xY9!{i:06d}kLmN"\nx = "{i:024x}"' for i in range(n))
+
+    small, base = text(60), []
+    found = op.scan(small)
+    base = [(s, e) for k, s, e, _ in found if k != "literal"]
+    want = [(s, e) for s, e, _ in op.literal_spans(small) if not any(b <= s and e <= f for b, f in base)]
+    assert [(s, e) for k, s, e, _ in found if k == "literal"] == want and len(base) > 100 and len(want) >= 60
+    begin = time.process_time()
+    assert len(op.scan(text(20_000))) > 40_000
+    assert time.process_time() - begin < 60

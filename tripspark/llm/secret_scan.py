@@ -23,8 +23,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -234,8 +236,10 @@ def scan(text: str) -> list[tuple[str, int, int, float]]:
     found += [("hex", *m.span(), 1.0) for m in _HEX.finditer(text)]
     if ("=" in text or ":" in text) and may_be_sensitive(text):
         base = sorted((s, e) for _, s, e, _ in found)
+        begins, reach = [s for s, _ in base], list(accumulate((e for _, e in base), max))
         for start, end, score in literal_spans(text):
-            if not any(s <= start and end <= e for s, e in base):
+            before = bisect_right(begins, start)
+            if not before or reach[before - 1] < end:  # no base span holds it
                 found.append(("literal", start, end, score))
     found.sort(key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
     return found
