@@ -122,3 +122,15 @@ def test_a_stream_does_not_see_staging_or_ledger(spark, months):
          .trigger(availableNow=True).start(out))
     q.awaitTermination()
     assert spark.read.parquet(out).count() == months[1].count()
+
+
+def test_names_with_odd_characters(spark, months):
+    """Listings and the metadata column spell such names differently; both mean one file."""
+    root = new_scratch_dir(spark, "landing-names")
+    source = f"{root}/so urce"
+    for folder, name in ((source, "x y+z%41 é_1996-01"), (f"{source}/so urce", "x y+z%41 é_1996-02")):
+        put(months[int(name[-1])], folder, name)
+    entries = {r["file_name"]: r["row_count"] for r in ledger.land_files(spark, source, f"{root}/raw").collect()}
+    assert entries == {"x y+z%41 é_1996-01.parquet": months[1].count(), "so urce/x y+z%41 é_1996-02.parquet": months[2].count()}
+    assert same(read_raw(spark, f"{root}/raw"), months[1].union(months[2]))
+    assert set(statuses(ledger.land_files(spark, source, f"{root}/raw")).values()) == {"skipped"}

@@ -16,13 +16,15 @@ each file and task.
 
 from __future__ import annotations
 
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripspark.schemas import RAW, RAW_DATA_COLUMNS
 from tripspark.session import delete_path, path_exists, publish, same_path
+from tripspark.sources.readers import decoded_file_path
 
 LEDGER, STAGING = "_ledger", "_staging"
 MONTH_IN_NAME = r"(\d{4})-(\d{2})"
@@ -30,15 +32,15 @@ LANDED, SKIPPED, NAMELESS = "landed", "skipped", "without month"
 ENTRIES = "file_name string, file_size bigint, row_count bigint, digest string, year int, month int, status string"
 
 
-def _relative(path, source: str):
-    """A file's path below the source folder."""
-    return F.substring_index(path, source.rstrip("/").rsplit("/", 1)[1] + "/", -1)
+def _relative(path: Column, source: str) -> Column:
+    """A file's path below the source folder, however its scheme is spelled."""
+    return F.substring_index(path, re.sub(r"^[\w+.-]+:(//[^/]*)?", "", source).rstrip("/") + "/", -1)
 
 
 def _read_source(spark: SparkSession, source: str) -> DataFrame:
     schema = RAW[:-2]
     return (spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(source)
-            .withColumn("file_name", _relative(F.col("_metadata.file_path"), source)))
+            .withColumn("file_name", _relative(decoded_file_path(), source)))
 
 
 def source_files(spark: SparkSession, source: str) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,6 +23,11 @@ def raw_schema(extra: dict[str, str] | None = None) -> StructType:
     return StructType([*RAW.fields[:-2], *added, *RAW.fields[-2:]])
 
 
+def decoded_file_path() -> Column:
+    """The path of a row's file as listings spell it; the metadata column has it URL-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def file_columns(spark: SparkSession, path: str) -> dict[str, str]:
     """Data columns that the landed files have beyond the declared ones, over all files
     (name -> type). Reads the footers of all files in one job; for reports and set-up."""
