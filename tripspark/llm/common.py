@@ -3,7 +3,9 @@ with a bounded number of rows, byte views of a text column."""
 
 from __future__ import annotations
 
+import ctypes
 import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,24 +14,49 @@ from pyspark.sql import functions as F
 
 from tripspark.session import new_scratch_dir
 
+ArrowStage = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
 #: Rows of one Arrow batch handed to Python. Texts may be long, so a batch is
 #: kept far below Spark's default of 10,000 rows.
 ROWS_PER_BATCH = 512
+#: Bytes of such a batch; a longer text is a batch by itself.
+BYTES_PER_BATCH = 16 << 20
 
 #: Held out rows: crc32 of the id as text, modulo 4, equal to this.
 HELD_OUT_REMAINDER = 2
 
 
 def python_stages(spark: SparkSession, rows: int = ROWS_PER_BATCH) -> None:
-    """Bound the rows of the Arrow batches that this session's Python stages get,
-    and let workers that start from now on find this package where the driver has it."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Bound the rows and bytes of the Arrow batches that this session's Python stages get,
+    and let workers that start from now on find this package where the driver has it.
+
+    The settings stay, as they are read when a stage runs; smaller ones of the session are kept."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", BYTES_PER_BATCH)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(key).strip().lower().removesuffix("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (known, root) if x)
 
 
+def tidy(run: ArrowStage) -> ArrowStage:
+    """A Python stage that gives freed memory back to the system when its partition ends: Spark
+    reuses its workers, which would otherwise keep what their largest partition took."""
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            del batches
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim is not None:
+                trim(0)
+    return tidied
+
+
 def materialize(df: DataFrame, kind: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared scratch folder and read it
     back: cuts the lineage in storage that survives a lost executor."""

@@ -10,7 +10,8 @@ Bounds. Training uses a sample of labelled rows that does not grow with the
 data: per class, ``dictionary_rows`` rows give one block of ``block_bytes``
 characters each to the dictionary, and ``calibration_rows`` further rows are
 scored on executors over their whole texts, of which the driver gets two
-numbers a row. Rows are taken in the order of a hash of their id. Scoring
+numbers a row. Rows are taken in the order of a hash of their id; of rows that repeat an
+id the smallest text counts. Scoring
 covers every row and every byte in one narrow pass without a shuffle; the
 model (two dictionaries) is a constant size.
 
@@ -32,7 +33,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import held_out, python_stages, text_bytes
+from tripspark.llm.common import held_out, python_stages, text_bytes, tidy
 
 #: A document is predicted good from this score on.
 THRESHOLD = 0.7
@@ -128,7 +129,9 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training = Training()) ->
     picked = sorted((int(r["quality"]), int(r["doc_id"])) for r in sample.collect())
     totals = {int(r["quality"]): r["count"] for r in known.groupBy("quality").count().collect()}
     sample = spark.createDataFrame(picked, "quality int, doc_id bigint")
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    # One text for each labelled id, however many rows repeat it: what is collected below stays bounded.
+    chosen = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+              .groupBy("doc_id", "quality").agg(F.min("text").alias("text")))
     turn = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(rows)) < training.dictionary_rows
     start = 1 + F.pmod(F.xxhash64("doc_id", F.lit(2)),
                        F.greatest(F.lit(1), F.length("text") - training.block_bytes + 1)).cast("int")
@@ -141,7 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Training = Training()) ->
     good, bad = (_dictionary(samples[q], training) for q in (1, 0))
     model = QualityModel(good, bad, 1.0, 0.0, training)
     scored = (chosen.filter(~turn).select("quality", text_bytes(F.col("text")).alias("__text"))
-              .mapInArrow(_differences(model, False), "quality int, value double"))
+              .mapInArrow(tidy(_differences(model, False)), "quality int, value double"))
     found = scored.collect()
     y = np.array([r["quality"] for r in found], dtype=np.float64)
     if not 0 < y.sum() < len(y):
@@ -169,6 +172,6 @@ def score_quality(docs: DataFrame, model: QualityModel, keep: tuple[str, ...] |
                         text_bytes(F.col("text")).alias("__text"))
     schema = ", ".join([f"c{i} {given.schema[f'c{i}'].dataType.simpleString()}" for i in range(len(names))]
                        + ["value double"])
-    out = given.mapInArrow(_differences(model, True), schema)
+    out = given.mapInArrow(tidy(_differences(model, True)), schema)
     return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)], F.col("value").alias("score"),
                       (F.col("value") >= THRESHOLD).cast("int").alias("predicted"))

@@ -10,6 +10,9 @@ to the rows by position. Decoding joins ids to the vocabulary's pieces, once for
 each distinct word of a block. ``check_word_wise`` tells whether a tokenizer
 file has the parts that this rests on.
 
+A block keeps its distinct words' bytes once and four bytes for each word of its
+texts (``word_blocks``); the texts themselves pass by, a batch at a time.
+
 Scale. Nothing is broadcast but the tokenizer's path. Shuffled are a block's
 distinct words (a row for each bucket), their ids, and two to three bytes for
 each word of a text; texts are not. Buckets are even whatever word is frequent,
@@ -26,9 +29,9 @@ result.
 
 from __future__ import annotations
 
-import hashlib
+import os
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tripspark.llm.common import ROWS_PER_BATCH, as_text, python_stages, text_bytes
+from tripspark.llm.common import as_text, python_stages, text_bytes, tidy
+from tripspark.llm.word_blocks import WordBlock, gather
 
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
+#: Words whose ids or pieces are gathered at a time.
+JOIN_WORDS = 1 << 17
 #: Distinct words are dealt to this many buckets for each shuffle partition, MAX_BUCKETS at most.
 BUCKETS_PER_PARTITION, MAX_BUCKETS = 8, 1 << 16
 #: Bytes of ids in one Arrow batch of the result, beyond which it is closed.
@@ -57,7 +63,9 @@ _tokenizers: dict[str, Tokenizer] = {}
 
 
 def load(path: str) -> Tokenizer:
-    """The tokenizer without truncation and padding, once for each process."""
+    """The tokenizer without truncation and padding, once for each process. It keeps to the thread that
+    asks: a task has one core, and the memory of further threads would stay with the worker."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _tokenizers:
         t = Tokenizer.from_file(path)
         t.no_truncation()
@@ -83,53 +91,51 @@ def split(text: str) -> list[str]:
     return [w for w in _SPACE.split(text) if w]
 
 
-class _Numbers(dict):
-    """Numbers words in the order in which they are first asked for."""
-
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        return n
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], buckets: int):
-    """Blocks of rows: (key, words in the order of (bucket, word), bucket of each, number
-    of each, the numbers of each row's words, the batches' parts that hold the rows)."""
-    seen, size, digest = _Numbers(), 0, xxhash.xxh3_128()
-    rows: list[array] = []
+def _blocks(batches: Iterator[pa.RecordBatch]):
+    """Blocks of rows: (key, block of words, the batches' parts that hold the rows' key columns)."""
+    block, size, digest = WordBlock(), 0, xxhash.xxh3_128()
     kept: list[pa.RecordBatch] = []
 
-    def close():
-        words = sorted(seen)
-        bucket = np.fromiter((xxhash.xxh64_intdigest(w) % buckets for w in words), dtype=np.int32, count=len(words))
-        order = np.argsort(bucket, kind="stable")
-        words = [words[i] for i in order.tolist()]
-        numbers = np.fromiter(map(seen.__getitem__, words), dtype=np.int32, count=len(words))
-        return f"{len(words)}-{digest.hexdigest()}", words, bucket[order], numbers, rows, kept
-
     for batch in batches:
-        begin = 0
-        for i, raw in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-            if rows and size + len(raw) > BLOCK_BYTES:
-                kept.append(batch.slice(begin, i - begin))
-                yield close()
-                seen, size, digest, rows, kept, begin = _Numbers(), 0, xxhash.xxh3_128(), [], [], i
+        begin, keys = 0, batch.select(list(range(batch.num_columns - 1)))
+        for i, raw in enumerate(batch.column(batch.num_columns - 1)):
+            raw = valid_utf8(raw.as_py())
+            if block.rows and size + len(raw) > BLOCK_BYTES:
+                kept.append(keys.slice(begin, i - begin))
+                full = [(digest.hexdigest(), block, kept)]
+                del block, kept  # the caller lets go of a block before it asks for the next one
+                yield full.pop()
+                block, size, digest, kept, begin = WordBlock(), 0, xxhash.xxh3_128(), [], i
             size += len(raw)
             digest.update(len(raw).to_bytes(8, "little") + raw)
-            rows.append(array("i", map(seen.__getitem__, split(as_text(raw)))))
-        kept.append(batch.slice(begin))
-    if rows:
-        yield close()
+            block.add(raw)
+        kept.append(keys.slice(begin))
+    if block.rows:
+        yield digest.hexdigest(), block, kept
+
+
+def valid_utf8(raw: bytes) -> bytes:
+    """The bytes themselves if they are UTF-8; otherwise with U+FFFD for what is not."""
+    try:
+        raw.decode()
+    except UnicodeDecodeError:
+        return as_text(raw).encode()
+    return raw
 
 
 def _ask(buckets: int):
     """The words of each block, a row for each bucket that has some; words are joined by spaces."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, words, bucket, _, _, _ in _blocks(batches, buckets):
-            own, begins = np.unique(bucket, return_index=True)
-            ends = [*begins[1:].tolist(), len(words)]
-            lists = [" ".join(words[b:e]) for b, e in zip(begins.tolist(), ends, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([key] * len(own)), pa.array(own), pa.array(lists, pa.string())],
-                                             names=["block", "bucket", "words"])
+        for key, block, _ in _blocks(batches):
+            order, bucket = block.close(buckets)
+            own, lists = [], []
+            for b, joined in block.lists(order, bucket):
+                own.append(b)
+                lists.append(joined)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f"{len(order)}-{key}"] * len(own), pa.string()), pa.array(own, pa.int32()),
+                 pa.array(lists, pa.binary()).cast(pa.string())], names=["block", "bucket", "words"])
+            del block, lists  # before the next block is formed
     return run
 
 
@@ -167,10 +173,10 @@ def _numbered(buckets: int):
         return numbers.astype(np.uint16).tobytes(), (numbers >> 16).astype(np.uint16).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, _, _, numbers, rows, kept in _blocks(batches, buckets):
-            table = pa.Table.from_batches(kept)
-            names = table.column_names[:-1]
-            kinds = [table.schema.field(n).type for n in names]
+        for digest, block, kept in _blocks(batches):
+            order, _ = block.close(buckets)
+            key = f"{len(order)}-{digest}"
+            names, kinds = kept[0].schema.names, kept[0].schema.types
 
             def record(at: int, parts: list[tuple[bytes, bytes]], columns: list[pa.Array]) -> pa.RecordBatch:
                 low, high = zip(*parts, strict=True)
@@ -178,12 +184,12 @@ def _numbered(buckets: int):
                     [pa.array([key] * len(parts)), pa.array([at] * len(parts), pa.int32()), pa.array(low, pa.binary()),
                      pa.array(high, pa.binary()), *columns], names=["block", "bucket", "low", "high", *names])
 
-            yield record(_FIRST, [planes(numbers)], [pa.nulls(1, k) for k in kinds])
-            for j in range(0, len(rows), ROWS_PER_BATCH):
-                group = rows[j:j + ROWS_PER_BATCH]
-                part = table.slice(j, len(group)).combine_chunks()
-                yield record(_LAST, [planes(np.frombuffer(g, dtype=np.int32)) for g in group],
-                             [part.column(n).chunk(0) for n in names])
+            yield record(_FIRST, [planes(order)], [pa.nulls(1, k) for k in kinds])
+            rows = block.numbers()
+            for part in kept:
+                if part.num_rows:
+                    yield record(_LAST, [planes(next(rows)) for _ in range(part.num_rows)], part.columns)
+            del block, kept, rows  # before the next block is formed
     return run
 
 
@@ -196,8 +202,8 @@ def _join(path: str, columns: int):
         tokenizer = load(path)
         kind = _id_type(tokenizer)
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
-        piece = dict(zip(vocabulary.values(), vocabulary.keys(), strict=True)).__getitem__
-        block, last, order, found, ids, pieces = None, None, None, [], [], []
+        pieces = _Strings.of([p for p, _ in sorted(vocabulary.items(), key=lambda x: x[1])], sorted(vocabulary.values()))
+        block, last, order, found, ids, decoded = None, None, None, [], None, None
         for batch in batches:
             id_out, text_out, rows, size = [], [], [], 0
 
@@ -205,13 +211,13 @@ def _join(path: str, columns: int):
                 kept = batch.take(pa.array(rows, pa.int32()))
                 return pa.RecordBatch.from_arrays(
                     [*[kept.column(4 + j) for j in range(columns)], pa.array([len(r) // 4 for r in id_out], pa.int64()),
-                     pa.array(id_out, pa.binary()), pa.array(text_out, pa.string())],
+                     pa.array(id_out, pa.binary()), pa.array(text_out, pa.binary()).cast(pa.string())],
                     names=[f"c{j}" for j in range(columns)] + ["n_tokens", "ids", "decoded"])
 
             low, high = batch.column(2), batch.column(3)
             for i, (key, at) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 if key != block:
-                    block, last, order, found, ids, pieces = key, None, None, [], None, None
+                    block, last, order, found, ids, decoded = key, None, None, [], None, None
                 if at == _FIRST:
                     order = numbers(low[i].as_py(), high[i].as_py())
                     continue
@@ -221,13 +227,13 @@ def _join(path: str, columns: int):
                     last = at
                     continue
                 if ids is None:
-                    ids, pieces = _by_number(key, order, found, kind, piece)
+                    ids, decoded = _by_number(key, order, found, kind, pieces)
                     found = []
-                take = numbers(low[i].as_py(), high[i].as_py()).tolist()
-                id_out.append(b"".join([ids[k] for k in take]))
-                text_out.append(" ".join([pieces[k] for k in take if ids[k]]))
+                take = numbers(low[i].as_py(), high[i].as_py())
+                id_out.append(ids.join(take))
+                text_out.append(decoded.join(take[decoded.lengths[take] > 0]).removesuffix(b" "))
                 rows.append(i)
-                size += len(id_out[-1])
+                size += len(id_out[-1]) + len(text_out[-1])
                 if size > OUTPUT_BYTES:
                     yield packed()
                     id_out, text_out, rows, size = [], [], [], 0
@@ -236,20 +242,45 @@ def _join(path: str, columns: int):
     return run
 
 
-def _by_number(key: str, order: np.ndarray, found: list[tuple[bytes, bytes]], kind: type, piece: Callable[[int], str]):
-    """The ids (bytes) and decoded pieces of a block's words, by the words' numbers."""
-    flat = np.frombuffer(b"".join(i for i, _ in found), kind).astype("<u4")
-    lengths = np.frombuffer(b"".join(n for _, n in found), np.int32)
+class _Strings:
+    """Byte strings by number, in one buffer."""
+
+    def __init__(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.flat, self.lengths = flat, lengths
+        self.begins = np.cumsum(lengths, dtype=np.int64) - lengths
+
+    @classmethod
+    def of(cls, strings: list[str], numbers: list[int]) -> _Strings:
+        """Each string with a space behind it, under the given ascending numbers."""
+        raw = [s.encode() + b" " for s in strings]
+        lengths = np.zeros(numbers[-1] + 1 if numbers else 0, dtype=np.int64)
+        lengths[numbers] = [len(r) for r in raw]
+        return cls(np.frombuffer(b"".join(raw), np.uint8), lengths)
+
+    def join(self, numbers: np.ndarray) -> bytes:
+        """The concatenated strings, gathered JOIN_WORDS at a time."""
+        parts = [gather(self.flat, self.begins[n], self.lengths[n]).tobytes()
+                 for n in (numbers[i:i + JOIN_WORDS] for i in range(0, len(numbers), JOIN_WORDS))]
+        return parts[0] if len(parts) == 1 else b"".join(parts)
+
+    def reordered(self, places: np.ndarray) -> _Strings:
+        """The strings under other numbers: the i-th one gets number ``places[i]``."""
+        back = np.empty(len(places), dtype=np.int64)
+        back[places] = np.arange(len(places))
+        return _Strings(np.frombuffer(self.join(back), np.uint8), self.lengths[back])
+
+
+def _by_number(key: str, order: np.ndarray, found: list[tuple[bytes, bytes]], kind: type, pieces: _Strings):
+    """The ids (bytes) and decoded pieces (each with a space behind it) of a block's words, by the words' numbers."""
+    flat = np.frombuffer(b"".join(i for i, _ in found), kind)
+    lengths = np.frombuffer(b"".join(n for _, n in found), np.int32).astype(np.int64)
     if len(lengths) != int(key.split("-")[0]) or order is None or len(order) != len(lengths):
         raise RuntimeError("the input's rows changed between two passes; write them to a table first")
-    ids, pieces = [b""] * len(order), [""] * len(order)
-    words = list(map(piece, flat.tolist()))
-    raw, ends = flat.tobytes(), np.cumsum(lengths).tolist()
-    begin = 0
-    for number, end in zip(order.tolist(), ends, strict=True):
-        ids[number], pieces[number] = raw[4 * begin:4 * end], " ".join(words[begin:end])
-        begin = end
-    return ids, pieces
+    ids = _Strings(np.frombuffer(flat.astype("<u4").tobytes(), np.uint8), 4 * lengths)
+    bounds = np.concatenate([[0], np.cumsum(pieces.lengths[flat])])
+    ends = np.cumsum(lengths)
+    decoded = _Strings(np.frombuffer(pieces.join(flat), np.uint8), bounds[ends] - bounds[ends - lengths])
+    return ids.reordered(order), decoded.reordered(order)
 
 
 def encode_words(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
@@ -264,11 +295,11 @@ def encode_words(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)
     given = docs.select(*[F.col(n).alias(f"c{i}") for i, n in enumerate(keep)], text_bytes(F.col(text_col)).alias("t"))
     types = [given.schema[f"c{i}"].dataType.simpleString() for i in range(len(keep))]
     columns = "".join(f", c{i} {t}" for i, t in enumerate(types))
-    asked = given.select("t").mapInArrow(_ask(buckets), "block string, bucket int, words string")
+    asked = given.select("t").mapInArrow(tidy(_ask(buckets)), "block string, bucket int, words string")
     known = (asked.repartition("bucket").sortWithinPartitions("bucket")
-             .mapInArrow(_encode(path), "block string, bucket int, low binary, high binary"))
+             .mapInArrow(tidy(_encode(path)), "block string, bucket int, low binary, high binary"))
     known = known.select("*", *[F.lit(None).cast(t).alias(f"c{i}") for i, t in enumerate(types)])
-    rows = given.mapInArrow(_numbered(buckets), f"block string, bucket int, low binary, high binary{columns}")
+    rows = given.mapInArrow(tidy(_numbered(buckets)), f"block string, bucket int, low binary, high binary{columns}")
     both = known.unionByName(rows).repartition("block").sortWithinPartitions("block", "bucket")
-    out = both.mapInArrow(_join(path, len(keep)), f"{columns[2:]}{', ' if columns else ''}n_tokens bigint, ids binary, decoded string")
+    out = both.mapInArrow(tidy(_join(path, len(keep))), f"{columns[2:]}{', ' if columns else ''}n_tokens bigint, ids binary, decoded string")
     return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(keep)], "n_tokens", "ids", "decoded")
