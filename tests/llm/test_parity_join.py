@@ -133,3 +133,15 @@ def test_components_of_chains_stars_and_repeats(spark):
     edges = [(i, i + 1) for i in range(1, 200)] + [(1000, i) for i in range(1001, 1100)] + [(5, 5), (7, 6), (7, 6)]
     out = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {(r["node"], r["component"]) for r in out} == {(i, 1) for i in range(1, 201)} | {(i, 1000) for i in range(1000, 1100)}
+
+
+def test_components_of_a_hub_are_found_without_gathering_it(spark):
+    """A node with most of the edges: its least neighbour is combined before the shuffle and joined back."""
+    from tripspark.llm import components
+    from tripspark.plans import inspect
+
+    edges = spark.range(1, 3000).selectExpr("id AS a", "0L AS b").union(spark.range(5000, 5200).selectExpr("id AS a", "id + 1 AS b"))
+    plan = inspect.executed_plan(components._large_star(edges))
+    assert "MapInArrow" not in plan and "partial_min" in plan
+    found = {r["node"]: r["component"] for r in connected_components(edges).collect()}
+    assert found == {i: 0 for i in range(3000)} | {i: 5000 for i in range(5000, 5201)}

@@ -4,54 +4,33 @@ Large-star links every larger neighbour of a node to the smallest node in its
 neighbourhood, small-star every smaller one and the node itself; both keep
 components as they are, and repeated in turn they end in stars around each
 component's smallest node, in few rounds for chains and stars alike. An
-operation is one shuffle by node: rows arrive sorted, so the first neighbour is the
-smallest, and the others stream past it. No node's neighbours are gathered in a
-row or in memory, and no edge, node or component list reaches the driver. Each
-round's edges are written to the shared folder.
+operation takes each node's least neighbour by an aggregate, which is combined
+before its shuffle, and joins it back to the edges: one row a node on one side, so
+Spark splits the edges of a hub that holds many of them. No node's neighbours are
+gathered in a row or in memory, and no edge, node or component list reaches the
+driver. The edges of each step are written to the shared folder.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import materialize, python_stages
+from tripspark.llm.common import materialize
 
 
-def _star(large: bool):
-    """Edges (larger node, smaller node) from rows (u, v) in order."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last_u = last_v = least = None
-        for batch in batches:
-            u, v = (batch.column(k).to_numpy() for k in range(2))
-            if not len(u):
-                continue
-            new = np.empty(len(u), dtype=bool)
-            new[0], new[1:] = u[0] != last_u, u[1:] != u[:-1]
-            repeat = ~new
-            repeat[0] &= bool(v[0] == last_v)
-            repeat[1:] &= v[1:] == v[:-1]
-            first = np.maximum.accumulate(np.where(new, np.arange(len(u)), -1))
-            m = v[np.maximum(first, 0)]
-            if first[0] < 0:
-                m = np.where(first < 0, least, m)
-            last_u, last_v, least = u[-1], v[-1], m[-1]
-            if large:
-                keep = (v > u) & ~repeat
-                hi, lo = v[keep], np.minimum(m, u)[keep]
-            else:
-                keep = (v != m) & ~repeat
-                hi, lo = np.concatenate([v[keep], u[new]]), np.concatenate([m[keep], m[new]])
-            yield pa.RecordBatch.from_arrays([pa.array(hi, pa.int64()), pa.array(lo, pa.int64())], names=["a", "b"])
-    return run
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Each larger neighbour of a node, with the smallest of the node and its neighbours."""
+    both = edges.union(edges.select("b", "a")).toDF("u", "v")
+    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    return both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.least("m", "u").alias("b"))
 
 
-def _apply(rows: DataFrame, large: bool) -> DataFrame:
-    return rows.toDF("u", "v").repartition("u").sortWithinPartitions("u", "v").mapInArrow(_star(large), "a bigint, b bigint")
+def _small_star(edges: DataFrame) -> DataFrame:
+    """A node and its smaller neighbours, each with the smallest of them."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    joined = edges.join(least, "a").filter("b <> m")
+    return least.union(joined.select("b", "m")).toDF("a", "b")
 
 
 def _written(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
@@ -64,13 +43,12 @@ def _written(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node in ``edges`` (a, b: bigint); component is
     the smallest node that can be reached. Repeats are fine; loops count for nothing."""
-    python_stages(edges.sparkSession)
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b")
     edges, state = _written(edges)
     before = None
     while state[0] and state != before:
         before = state
-        wide = _apply(edges.union(edges.select("b", "a")), large=True)
-        edges, state = _written(_apply(wide, large=False))
+        wide = materialize(_large_star(edges).distinct(), "cc-wide")
+        edges, state = _written(_small_star(wide))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select("b", "b").distinct())

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import byte_view, counted_broadcast, materialize, mix64, python_stages, text_bytes
+from tripspark.llm.common import byte_view, counted_broadcast, materialize, mix64, python_stages, text_bytes, tidy
 from tripspark.llm.components import connected_components
 from tripspark.llm.shingles import shingle_sets
 
@@ -50,6 +50,8 @@ from tripspark.llm.shingles import shingle_sets
 #: SAMPLE_ROWS * blocks a document / (SAMPLE_ROWS * FREQUENT) keys are frequent.
 SAMPLE_ROWS = 16_000
 FREQUENT = 0.00025
+#: Frequent keys that the driver and the tasks get, the most frequent ones. Any choice gives the same links.
+FREQUENT_KEYS = 1_000_000
 
 _SMALL = 64
 _BIT = np.uint64(0xD6E8FEB86659FD93)
@@ -188,8 +190,9 @@ def frequent_blocks(docs: DataFrame, rows: int = SAMPLE_ROWS, share: float = FRE
     """Sorted keys of blocks that are frequent in a bounded sample of documents."""
     ids = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     sample = docs.select("doc_id", text_bytes(F.col("text")).alias("t")).join(F.broadcast(ids.distinct()), "doc_id")
-    keys = sample.select("t").mapInArrow(_sample_keys, "key bigint").groupBy("key").count()
-    found = keys.filter(F.col("count") >= max(4, int(rows * share))).select("key").toArrow().column(0)
+    keys = sample.select("t").mapInArrow(tidy(_sample_keys), "key bigint").groupBy("key").count()
+    found = keys.filter(F.col("count") >= max(4, int(rows * share))).orderBy(F.desc("count"), "key").limit(FREQUENT_KEYS)
+    found = found.select("key").toArrow().column(0)
     return np.sort(found.to_numpy().view(np.uint64))
 
 
@@ -209,7 +212,7 @@ def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     bytes_ = docs.select("doc_id", text_bytes(F.col("text")).alias("t"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     signed = materialize(bytes_.mapInArrow(
-        _sign(frequent_blocks(docs)),
+        tidy(_sign(frequent_blocks(docs))),
         f"doc_id {id_type}, n_shingles bigint, node bigint, row bigint, keys array<bigint>, sketch binary"), "jaccard-signed")
     nodes = signed.filter("sketch IS NOT NULL").select("row", "node", "n_shingles", "sketch", "doc_id")
 
@@ -240,7 +243,7 @@ def _verified(texts: DataFrame, used: DataFrame, pairs: DataFrame) -> DataFrame:
     pairs = (pairs.distinct().join(side.toDF("a", "na", "sa", "xa"), "a").join(side.toDF("b", "nb", "sb", "xb"), "b")
              .filter("na <> nb AND 5 * least(sa, sb) >= 4 * greatest(sa, sb)")
              .select("na", "nb", (F.col("sa") + F.col("sb")).alias("n"), "xa", "xb")
-             .mapInArrow(_may_link, "a bigint, b bigint"))
+             .mapInArrow(tidy(_may_link), "a bigint, b bigint"))
     pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
                         "jaccard-pairs")
     if pairs.isEmpty():
@@ -249,10 +252,10 @@ def _verified(texts: DataFrame, used: DataFrame, pairs: DataFrame) -> DataFrame:
     ids = used.join(counted_broadcast(nodes), "node").groupBy("node").agg(F.min("doc_id").alias("used_id"))
     ids = counted_broadcast(materialize(ids.select("used_id"), "jaccard-ids"))
     rows = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("used_id")), "left_semi")
-    items = rows.select("t").mapInArrow(_sets, "node bigint, items array<bigint>")
+    items = rows.select("t").mapInArrow(tidy(_sets), "node bigint, items array<bigint>")
     items = materialize(items.join(counted_broadcast(nodes), "node", "left_semi"), "jaccard-sets")
     full = pairs.join(items.toDF("a", "x"), "a").join(items.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return materialize(full.mapInArrow(_verify, "a bigint, b bigint"), "jaccard-links")
+    return materialize(full.mapInArrow(tidy(_verify), "a bigint, b bigint"), "jaccard-links")
 
 
 def _remaining(met: DataFrame, used: DataFrame, component: DataFrame) -> DataFrame:
@@ -272,7 +275,7 @@ def _remaining(met: DataFrame, used: DataFrame, component: DataFrame) -> DataFra
     dealt = dealt.select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "n", "tile", "row",
                          "comp", "sketch")
     return (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n")
-            .mapInArrow(_tile_pairs, "a bigint, b bigint"))
+            .mapInArrow(tidy(_tile_pairs), "a bigint, b bigint"))
 
 
 #: Rows of a key that are compared in one tile, and the most 64-bit words of a sketch there.
