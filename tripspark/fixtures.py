@@ -30,12 +30,13 @@ def _seconds(n: Column) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), n.cast("decimal(18,6)"))
 
 
-def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips (RAW schema incl. year/month of the request) as a lazy view.
+def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The few columns that a trip is made of, with the year and two-digit month of its request.
 
-    All four joins are plain equi-joins; Spark/AQE picks broadcast for the
-    small dimension sides by measured size, sort-merge otherwise. The
-    lineitem/orders join is the only one whose both sides grow with the data.
+    All joins are plain equi-joins; Spark/AQE picks broadcast for the small
+    dimension sides by measured size, sort-merge otherwise. Orders get their
+    customer's nation before they meet lineitem, so that only the lineitem/orders
+    join moves lineitem rows once customers are too many to broadcast.
     """
     l = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -43,19 +44,34 @@ def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     s = _table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     c = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    base = (l.join(o, l.l_orderkey == o.o_orderkey)
-            .join(s, l.l_suppkey == s.s_suppkey)
-            .join(c, o.o_custkey == c.c_custkey))
+    o = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_orderdate", "c_nationkey")
+    base = l.join(o, l.l_orderkey == o.o_orderkey).join(s, l.l_suppkey == s.s_suppkey)
+    base = base.select(
+        (F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("k"), "l_suppkey", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag", "o_orderdate", "s_nationkey", "c_nationkey")
+    req = _request_time()
+    return base.select("*", F.year(req).alias("year"), F.lpad(F.month(req).cast("string"), 2, "0").alias("month"))
+
+
+def _request_time() -> Column:
+    return F.col("o_orderdate") + _seconds(F.col("k") * 37 % 86400)
+
+
+def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trips (RAW schema incl. year/month of the request) as a lazy view."""
+    trips = _trips(_base(spark, sf_dir))
+    return trips.withColumn("month", F.col("month").cast(RAW["month"].dataType))
 
-    k = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+
+def _trips(base: DataFrame) -> DataFrame:
+    """Raw trips of the base rows, one by one; year and month are passed on as they are."""
+    k = F.col("k")
     step1 = base.select(
         "*",
-        k.alias("k"),
         F.when(k % 59 == 0, F.lit(0).cast("bigint"))
          .otherwise((F.col("l_quantity") * 90).cast("bigint") + F.col("l_suppkey") % 60).alias("tt"),
-        (F.col("o_orderdate") + _seconds(k * 37 % 86400)).alias("req"),
+        _request_time().alias("req"),
     )
-    k = F.col("k")
     step2 = step1.select(
         "*",
         F.when(k % 29 == 0, F.col("req") - _seconds(F.lit(60)))
@@ -99,9 +115,8 @@ def trip_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 17 == 0, F.lit("Y")).otherwise(F.lit(" ")).alias("access_a_ride_flag"),
         F.when(k % 11 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("wav_request_flag"),
         F.when(k % 22 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("wav_match_flag"),
-        F.year("req").alias("year"),
-        F.month("req").alias("month"),
-    ).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW.fields])
+        "year", "month",
+    ).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW.fields[:-2]], "year", "month")
 
 
 def zone_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,16 +144,22 @@ def fixture_dir(spark: SparkSession, sf_dir: str) -> str:
 
 
 def raw_path(spark: SparkSession, sf_dir: str) -> str:
-    """Landed raw trips for ``sf_dir``: written once, then re-used."""
-    from tripspark.sinks.writers import land
+    """Landed raw trips for ``sf_dir``: written once, then re-used.
 
+    The narrow base rows are dealt and sorted by month, and become trips where they
+    are written: the wide rows are neither shuffled nor sorted."""
     path = f"{fixture_dir(spark, sf_dir)}/raw"
     with _LOCK:
         if not path_exists(spark, f"{path}/_SUCCESS"):
-            land(trip_view(spark, sf_dir), path, dynamic=False)
+            _landed_trips(spark, sf_dir).write.mode("overwrite").partitionBy("year", "month").parquet(path)
     return path
 
 
+def _landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trips, dealt and sorted by year and two-digit month."""
+    return _trips(_base(spark, sf_dir).hint("rebalance", "year", "month").sortWithinPartitions("year", "month"))
+
+
 #: Extra raw column of ``raw_cbd_path`` and the first year that has it.
 CBD_COLUMN, CBD_FROM_YEAR = "cbd_congestion_fee", 1997
 
@@ -153,8 +174,8 @@ def raw_cbd_path(spark: SparkSession, sf_dir: str) -> str:
             raw = spark.read.schema(RAW).parquet(source)
             t = F.col("trip_time")
             fee = F.when(t % 7 == 0, F.lit(None)).when(t % 3 == 0, F.lit(0.753)).otherwise(F.lit(1.5)).cast("double")
-            land(raw.filter(F.col("year") >= CBD_FROM_YEAR).withColumn(CBD_COLUMN, fee), path, dynamic=False)
-            land(raw.filter(F.col("year") < CBD_FROM_YEAR), path, mode="append")
+            land(raw.filter(F.col("year") >= CBD_FROM_YEAR).withColumn(CBD_COLUMN, fee), path, dynamic=False, rebalance=False)
+            land(raw.filter(F.col("year") < CBD_FROM_YEAR), path, mode="append", rebalance=False)
     return path
 
 

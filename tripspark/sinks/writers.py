@@ -5,6 +5,9 @@ partition columns (``REBALANCE`` hint). AQE then sizes the write tasks by bytes:
 it splits a hot day into several tasks (no single task holds a skewed day)
 and merges small days, so each task writes few, reasonably sized files instead
 of one file per (task × day).
+
+Rows that are read from month folders are by month already: each task holds a few
+months, and to be written by month again they need no shuffle (``rebalance=False``).
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.operators.quality import OUTCOME, REJECTED, VALID
-from tripspark.session import delete_path, path_exists, publish, same_file_system
+from tripspark.session import delete_path, path_exists, publish, same_file_system, session_settings
 
 CURATED_PARTITIONS = ("year", "month", "day")
 BOROUGH_PARTITIONS = ("year", "month")
@@ -67,11 +70,13 @@ def write_outcomes(outcomes: DataFrame, curated_path: str, rejects_path: str, re
     delete_path(spark, staging)
 
 
-def write_batch(df: DataFrame, table: str, folder: str, partitions: tuple[str, ...], order: tuple[str, ...]) -> None:
+def write_batch(df: DataFrame, table: str, folder: str, partitions: tuple[str, ...], order: tuple[str, ...],
+                rebalance: bool = True) -> None:
     """One new folder of a table (``batch_id=5``), replaced as a whole if the batch is written
     again. Files are by ``partitions`` and sorted within by ``order``, so that Parquet's
-    statistics prune on those columns without folders of their own."""
-    out = df.hint("rebalance", *partitions).sortWithinPartitions(*partitions, *order)
+    statistics prune on those columns without folders of their own. ``rebalance=False`` if
+    each task holds few of the ``partitions`` already."""
+    out = (df.hint("rebalance", *partitions) if rebalance else df).sortWithinPartitions(*partitions, *order)
     out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partitions).parquet(f"{table}/{folder}")
 
 
@@ -90,15 +95,23 @@ def write_daily_service(df: DataFrame, path: str, dynamic: bool = False) -> None
     write_partitioned(df, path, SERVICE_PARTITIONS, dynamic=dynamic)
 
 
-def land(raw: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = True) -> None:
+#: Files that a task of ``land`` may have open at once where its rows are not sorted by month first.
+OPEN_MONTHS = 16
+
+
+def land(raw: DataFrame, path: str, mode: str = "overwrite", dynamic: bool = True, rebalance: bool = True) -> None:
     """Place raw trips under ``year=YYYY/month=MM`` (two-digit month).
 
     By default existing months are kept (dynamic overwrite): landing a month
     again replaces only that month, like refreshing one monthly file.
     ``dynamic=False`` replaces the whole folder (a first, complete landing).
+    ``rebalance=False`` is for rows that come from month folders: each task writes its
+    few months side by side, without a shuffle or a sort (with more than OPEN_MONTHS of
+    them Spark sorts what is left).
     """
     out = raw.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
-    w = out.hint("rebalance", "year", "month").write.mode(mode)
+    w = (out.hint("rebalance", "year", "month") if rebalance else out).write.mode(mode)
     if dynamic:
         w = w.option("partitionOverwriteMode", "dynamic")
-    w.partitionBy("year", "month").parquet(path)
+    with session_settings(raw.sparkSession, {} if rebalance else {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_MONTHS)}):
+        w.partitionBy("year", "month").parquet(path)
