@@ -43,3 +43,19 @@ def test_rows_of_month_folders_are_landed_without_a_shuffle(spark):
     months = {ym for ym, _, _ in list_files(spark, again, ("year", "month"))}
     assert months == {(2020, m) for m in range(1, 12, 2)} | {(2021, m) for m in range(2, 13, 2)}
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_a_batch_of_month_files_is_curated_without_a_shuffle(spark, sf_small, monkeypatch):
+    """The rows of a batch are sorted where they are read: what is written has no exchange."""
+    from tripspark.streaming import incremental
+
+    seen, real = [], incremental.write_batch
+    monkeypatch.setattr(incremental, "write_batch", lambda df, *a: seen.append((df, a)) or real(df, *a))
+    pipe = incremental.IncrementalPipeline(spark, new_scratch_dir(spark, "by-month"), fixtures.zone_csv_path(spark, sf_small),
+                                           new_scratch_dir(spark, "by-month"), new_scratch_dir(spark, "by-month"))
+    raw = read_raw(spark, fixtures.raw_path(spark, sf_small)).filter("year = 1996 AND month < 4")
+    land(raw, pipe.raw_path, mode="append", rebalance=False)
+    pipe.curate_new()
+    [(rows, (*_, rebalance))] = seen
+    assert rebalance is False and "Exchange" not in inspect.executed_plan(rows)
+    assert incremental.read_trips(spark, pipe.curated_path).count() == raw.count() > 0

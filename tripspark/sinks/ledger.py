@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripspark.schemas import RAW, RAW_DATA_COLUMNS
-from tripspark.session import delete_path, path_exists, publish, same_path
+from tripspark.session import delete_path, path_exists, publish, same_path, session_settings
+from tripspark.sinks.writers import OPEN_MONTHS
 from tripspark.sources.readers import decoded_file_path
 
 LEDGER, STAGING = "_ledger", "_staging"
@@ -92,7 +93,8 @@ def land_files(spark: SparkSession, source: str, path: str) -> DataFrame:
     if months:
         rows = _read_source(spark, same_path(spark, source)).join(chosen.select("file_name", "year", "month"), "file_name").drop("file_name")
         rows = rows.withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
-        rows.hint("rebalance", "year", "month").write.partitionBy("year", "month").parquet(f"{staging}/months")
+        with session_settings(spark, OPEN_MONTHS):  # a file holds one month: no shuffle
+            rows.write.partitionBy("year", "month").parquet(f"{staging}/months")
     for y, m, n in months:  # bounded by the calendar
         month = f"year={y}/month={m:02d}"
         if not n:
