@@ -63,6 +63,22 @@ def test_group_with_links_that_no_centre_has(spark):
     assert got(op.jaccard_components(df)) == brute(data)
 
 
+def test_rows_of_a_large_key_meet_one_centre_a_round():
+    """300 rows that may all link: a pair a row in a round, all pairs in the last one; a pair is found if there is one."""
+    r = np.random.default_rng(0)
+    sketch = r.integers(0, 2**63, 8).astype(np.uint64)
+    held = [(100 + i % 3, 0, i, i, sketch) for i in range(300)]
+    held.sort(key=lambda h: h[0])
+    count = lambda rows, attempt: sum(len(a) for a, _ in op._compared((1, 0, 0), rows, attempt))
+    assert 0 < count(held, 0) < 300 and count(held, None) == 300 * 299 // 2
+    apart = [(100, 0, i, i, sketch if i in (7, 211) else r.integers(0, 2**63, 8).astype(np.uint64)) for i in range(300)]
+    for attempt in (0, 1, 2):
+        [(a, b)] = op._compared((1, 0, 0), apart, attempt)
+        assert {a[0], b[0]} == {7, 211} and len(a) == 1
+    joined = [(n, t, i, 5, s) for n, t, i, _, s in held]
+    assert count(joined, 0) == 0
+
+
 def test_links_at_the_limit(spark):
     """Pairs exactly at 0.8 and just below, at sizes around the bands' borders."""
     data, n = [], 0

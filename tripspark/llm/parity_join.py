@@ -23,6 +23,9 @@ puts those that are frequent in a bounded sample of documents last; the order
 never changes the result, but keeps shared passages out of the keys. Documents
 that share a key are not paired with one another, but with one centre, and only
 for what is not connected after that the other pairs of the key are verified.
+In a large key this is done in rounds: a row meets at most one further centre of
+its tile pair in a round, and what the links found connect is left out of the next
+one. A last round takes all pairs that are left then.
 Hence every pair that can link is either verified or already connected.
 
 Cases. Null text and text without words have the empty set, link with nothing
@@ -226,9 +229,13 @@ def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # Equal sets in different tasks are one node, so nodes carry the links.
     links = _verified(bytes_, used, met.filter("row <> lo").select(F.col("lo").alias("a"), F.col("row").alias("b")))
     component = materialize(connected_components(links), "jaccard-components")
-    more = _verified(bytes_, used, _remaining(met, used, component))
-    if not more.isEmpty():
-        component = connected_components(links.union(more))
+    for attempt in (*range(ROUNDS), None):
+        pairs = materialize(_remaining(met, used, component, attempt), "jaccard-tried")
+        if pairs.isEmpty():
+            break
+        more = _verified(bytes_, used, pairs)
+        if not more.isEmpty():
+            component = materialize(connected_components(component.toDF("a", "b").union(more)), "jaccard-components")
     least = (signed.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
              .join(component, "node", "left").withColumn("component", F.coalesce("component", "node")))
     named = least.join(least.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select(
@@ -258,15 +265,21 @@ def _verified(texts: DataFrame, used: DataFrame, pairs: DataFrame) -> DataFrame:
     return materialize(full.mapInArrow(tidy(_verify), "a bigint, b bigint"), "jaccard-links")
 
 
-def _remaining(met: DataFrame, used: DataFrame, component: DataFrame) -> DataFrame:
+def _remaining(met: DataFrame, used: DataFrame, component: DataFrame, attempt: int | None) -> DataFrame:
     """Pairs of rows that share a key, are in different components so far, and may be
     similar by their sizes and short sketches. Rows of a key are compared in tiles; the
-    tiles of a large key go to different tasks."""
+    tiles of a large key go to different tasks.
+
+    The first attempt gives all such pairs of small keys. Of large ones an attempt
+    gives at most one pair for each row of a tile pair (none only if none is left), and
+    ``None`` all of them."""
     of = used.join(component, "node", "left").select(
         "row", F.coalesce("component", "node").alias("comp"), F.col("n_shingles").alias("n"), "sketch")
     share = Window.partitionBy("key")
     rows = met.join(of.drop("sketch"), "row").withColumns({
         "c1": F.min("comp").over(share), "c2": F.max("comp").over(share), "members": F.count(F.lit(1)).over(share)})
+    if attempt != 0:  # small keys are done
+        rows = rows.filter(F.col("members") > SMALL_KEY)
     rows = materialize(rows.filter("c1 <> c2").select("key", "row", "n", "comp", "members"), "jaccard-apart")
     tiles = F.ceil(F.col("members") / TILE).cast("int")
     dealt = (rows.join(of.select("row", "sketch"), "row")
@@ -275,11 +288,14 @@ def _remaining(met: DataFrame, used: DataFrame, component: DataFrame) -> DataFra
     dealt = dealt.select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "n", "tile", "row",
                          "comp", "sketch")
     return (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n")
-            .mapInArrow(tidy(_tile_pairs), "a bigint, b bigint"))
+            .mapInArrow(tidy(_tile_pairs(attempt)), "a bigint, b bigint"))
 
 
 #: Rows of a key that are compared in one tile, and the most 64-bit words of a sketch there.
 TILE, TILE_WORDS = 2048, 64
+#: Rows up to which all pairs of a key are taken at once, and rounds in which the rows of
+#: larger keys meet one centre. Neither changes the links.
+SMALL_KEY, ROUNDS = 32, 4
 
 
 def _short(sketch: bytes) -> np.ndarray:
@@ -289,19 +305,21 @@ def _short(sketch: bytes) -> np.ndarray:
     return words
 
 
-def _tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that may link, of rows (key, i, j, n, tile, row, comp, sketch) by key, tile pair and size."""
-    key, held = None, []
-    for batch in batches:
-        out: list[tuple[np.ndarray, np.ndarray]] = []
-        for values in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
-            if values[:3] != key:
-                out += _compared(key, held)
-                key, held = values[:3], []
-            held.append((*values[3:7], _short(values[7])))
-        if out:
-            yield _pair_batch(out)
-    yield _pair_batch(_compared(key, held))
+def _tile_pairs(attempt: int | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs that may link, of rows (key, i, j, n, tile, row, comp, sketch) by key, tile pair and size."""
+        key, held = None, []
+        for batch in batches:
+            out: list[tuple[np.ndarray, np.ndarray]] = []
+            for values in zip(*(batch.column(k).to_pylist() for k in range(8)), strict=True):
+                if values[:3] != key:
+                    out += _compared(key, held, attempt)
+                    key, held = values[:3], []
+                held.append((*values[3:7], _short(values[7])))
+            if out:
+                yield _pair_batch(out)
+        yield _pair_batch(_compared(key, held, attempt))
+    return run
 
 
 def _pair_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -309,8 +327,11 @@ def _pair_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _compared(key: tuple | None, held: list[tuple]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of one tile pair, by size: a row meets those up to 5 / 4 of its size."""
+def _compared(key: tuple | None, held: list[tuple], attempt: int | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of one tile pair, by size: a row meets those up to 5 / 4 of its size.
+
+    With an ``attempt`` and many rows, those are taken in an order that differs between
+    attempts, and one that was met is neither met again nor a centre itself."""
     out = []
     if key is None or len(held) < 2:
         return out
@@ -320,18 +341,27 @@ def _compared(key: tuple | None, held: list[tuple]) -> list[tuple[np.ndarray, np
     place = np.zeros(len(held), dtype=np.int64)
     for w in sketches:
         place[words == w] = np.arange((words == w).sum())
+    few = attempt is None or len(held) <= SMALL_KEY
     stop = np.searchsorted(n, n * 5 // 4, side="right")
-    for i in range(len(held) - 1):
-        j = np.arange(i + 1, stop[i])
-        j = j[(comp[j] != comp[i]) & ((key[1] == key[2]) | (tile[j] != tile[i]))]
+    start = np.arange(1, len(held) + 1) if few else np.searchsorted(n * 5 // 4, n)
+    order = np.arange(len(held)) if few else np.argsort(mix64(row.view(np.uint64) + np.uint64(attempt)))
+    met = np.zeros(len(held), dtype=bool)
+    for i in order.tolist():
+        if met[i]:
+            continue
+        j = np.arange(start[i], stop[i])
+        j = j[~met[j] & (comp[j] != comp[i]) & ((key[1] == key[2]) | (tile[j] != tile[i]))]
         for w in np.unique(words[j]).tolist():
             own = j[words[j] == w]
             x, y = held[i][4], sketches[w][place[own]]
             while y.shape[1] > len(x):
                 y = y[:, :y.shape[1] // 2] ^ y[:, y.shape[1] // 2:]
+            while len(x) > y.shape[1]:
+                x = x[:len(x) // 2] ^ x[len(x) // 2:]
             near = own[9 * np.bitwise_count(y ^ x).sum(axis=1, dtype=np.int64) <= n[own] + n[i]]
             if len(near):
                 out.append((np.full(len(near), row[i]), row[near]))
+                met[near] = not few
     return out
 
 
