@@ -79,6 +79,32 @@ def test_rows_of_a_large_key_meet_one_centre_a_round():
     assert count(joined, 0) == 0
 
 
+def test_keys_that_the_same_rows_share_are_taken_once(spark, monkeypatch):
+    words = [[f"w{g}x{k}" for k in range(200)] for g in range(3)]
+    data = [(3 * g + c, " ".join([*words[g], *["more"] * c])) for g in range(3) for c in range(3)]
+    sizes = {}
+
+    def counted(df, kind, write=op.materialize):
+        table = write(df, kind)
+        sizes.setdefault(kind, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(op, "materialize", counted)
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    assert got(op.jaccard_components(docs)) == brute(data)
+    # Any two or all three rows of a group: four sets of rows at most, which hold nine rows.
+    assert 9 <= sizes["jaccard-met"][0] <= 27
+
+
+def test_rows_meet_under_every_key_they_share(spark):
+    keys = [(1, 10), (2, 10), (1, 11), (2, 11), (2, 12), (3, 12), (4, 13), (1, 14), (2, 14), (3, 14)]
+    met = op._meetings(spark.createDataFrame(keys, "row bigint, key bigint")).collect()
+    groups = {}
+    for r in met:
+        groups.setdefault((r["key"], r["lo"]), []).append(r["row"])
+    assert sorted((lo, *sorted(rows)) for (_, lo), rows in groups.items()) == [(1, 1, 2), (1, 1, 2, 3), (2, 2, 3)]
+
+
 def test_links_at_the_limit(spark):
     """Pairs exactly at 0.8 and just below, at sizes around the bands' borders."""
     data, n = [], 0

@@ -120,6 +120,11 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
 
 
+def _values(lists: pa.ListArray) -> tuple[np.ndarray, list[int]]:
+    """(values, offsets) of an array of lists of hashes."""
+    return lists.values.to_numpy().view(np.uint64), lists.offsets.to_numpy().tolist()
+
+
 def _sample_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[int] = set()
     for batch in batches:
@@ -179,12 +184,12 @@ def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, x, y) whose sorted sets x and y have a similarity of 0.8 or more."""
     for batch in batches:
-        x, y = batch.column(2), batch.column(3)
+        (u, at), (v, on) = (_values(batch.column(k)) for k in (2, 3))
         keep = []
         for i in range(batch.num_rows):
-            u, v = x[i].values.to_numpy().view(np.uint64), y[i].values.to_numpy().view(np.uint64)
-            both = np.sort(np.concatenate([u, v]))
-            common = int((both[1:] == both[:-1]).sum())
+            both = np.concatenate([u[at[i]:at[i + 1]], v[on[i]:on[i + 1]]])
+            both.sort()
+            common = int(np.count_nonzero(both[1:] == both[:-1]))
             keep.append(100 * common >= 80 * (len(both) - common))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
@@ -220,22 +225,29 @@ def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     nodes = signed.filter("sketch IS NOT NULL").select("row", "node", "n_shingles", "sketch", "doc_id")
 
     # Rows that share a key, each with the smallest of them.
-    share = Window.partitionBy("key")
-    met = (signed.select("row", F.explode("keys").alias("key"))
-           .withColumns({"lo": F.min("row").over(share), "hi": F.max("row").over(share)}).filter("lo <> hi"))
-    met = materialize(met.select("key", "row", "lo"), "jaccard-met")
+    met = materialize(_meetings(signed.select("row", F.explode("keys").alias("key"))), "jaccard-met")
     used = materialize(met.select("row").distinct().join(nodes, "row"), "jaccard-used")
 
     # Equal sets in different tasks are one node, so nodes carry the links.
     links = _verified(bytes_, used, met.filter("row <> lo").select(F.col("lo").alias("a"), F.col("row").alias("b")))
     component = materialize(connected_components(links), "jaccard-components")
-    for attempt in (*range(ROUNDS), None):
-        pairs = materialize(_remaining(met, used, component, attempt), "jaccard-tried")
+    attempt: int | None = 0
+    while True:
+        # Components only grow, so keys that are within one stay out of later attempts.
+        of = used.join(component, "node", "left").select(
+            "row", F.coalesce("component", "node").alias("comp"), F.col("n_shingles").alias("n"), "sketch")
+        met = materialize(_apart(met, of, attempt), "jaccard-apart")
+        pairs = materialize(_remaining(met, of, attempt), "jaccard-tried")
         if pairs.isEmpty():
             break
         more = _verified(bytes_, used, pairs)
-        if not more.isEmpty():
+        linked = not more.isEmpty()
+        if linked:
             component = materialize(connected_components(component.toDF("a", "b").union(more)), "jaccard-components")
+        if attempt is None:
+            break
+        # Without a link, another round would only try the same rows one by one.
+        attempt = attempt + 1 if linked and attempt + 1 < ROUNDS else None
     least = (signed.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
              .join(component, "node", "left").withColumn("component", F.coalesce("component", "node")))
     named = least.join(least.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select(
@@ -243,6 +255,17 @@ def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return signed.select("doc_id", "n_shingles", "node").join(named, "node", "left")
 
 
+def _meetings(keys: DataFrame) -> DataFrame:
+    """Rows (key, row, lo) of the keys in ``keys`` (row, key) that several rows have; lo is the smallest of them.
+
+    Near copies share many keys, so keys that the same rows have become one, named by these rows. Should
+    different rows get one name, they meet under it together: more meet, and none less."""
+    share = Window.partitionBy("key")
+    rows = keys.withColumns({"lo": F.min("row").over(share), "hi": F.max("row").over(share),
+                             "name": F.bit_xor(F.xxhash64("row")).over(share)}).filter("lo <> hi")
+    return rows.select(F.col("name").alias("key"), "row", "lo").distinct()
+
+
 def _verified(texts: DataFrame, used: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links (a, b) between nodes among pairs (a, b) of rows: sizes are compared, then
     sketches, then the sets of what is left."""
@@ -265,7 +288,18 @@ def _verified(texts: DataFrame, used: DataFrame, pairs: DataFrame) -> DataFrame:
     return materialize(full.mapInArrow(tidy(_verify), "a bigint, b bigint"), "jaccard-links")
 
 
-def _remaining(met: DataFrame, used: DataFrame, component: DataFrame, attempt: int | None) -> DataFrame:
+def _apart(met: DataFrame, of: DataFrame, attempt: int | None) -> DataFrame:
+    """Rows (key, row, n, comp, members) of the keys whose rows are in different components
+    so far, ``of`` giving each row's; after the first attempt only those of large keys."""
+    share = Window.partitionBy("key")
+    rows = met.select("key", "row").join(of.drop("sketch"), "row").withColumns({
+        "c1": F.min("comp").over(share), "c2": F.max("comp").over(share), "members": F.count(F.lit(1)).over(share)})
+    if attempt != 0:  # small keys are done
+        rows = rows.filter(F.col("members") > SMALL_KEY)
+    return rows.filter("c1 <> c2").select("key", "row", "n", "comp", "members")
+
+
+def _remaining(rows: DataFrame, of: DataFrame, attempt: int | None) -> DataFrame:
     """Pairs of rows that share a key, are in different components so far, and may be
     similar by their sizes and short sketches. Rows of a key are compared in tiles; the
     tiles of a large key go to different tasks.
@@ -273,14 +307,6 @@ def _remaining(met: DataFrame, used: DataFrame, component: DataFrame, attempt: i
     The first attempt gives all such pairs of small keys. Of large ones an attempt
     gives at most one pair for each row of a tile pair (none only if none is left), and
     ``None`` all of them."""
-    of = used.join(component, "node", "left").select(
-        "row", F.coalesce("component", "node").alias("comp"), F.col("n_shingles").alias("n"), "sketch")
-    share = Window.partitionBy("key")
-    rows = met.join(of.drop("sketch"), "row").withColumns({
-        "c1": F.min("comp").over(share), "c2": F.max("comp").over(share), "members": F.count(F.lit(1)).over(share)})
-    if attempt != 0:  # small keys are done
-        rows = rows.filter(F.col("members") > SMALL_KEY)
-    rows = materialize(rows.filter("c1 <> c2").select("key", "row", "n", "comp", "members"), "jaccard-apart")
     tiles = F.ceil(F.col("members") / TILE).cast("int")
     dealt = (rows.join(of.select("row", "sketch"), "row")
              .withColumns({"tile": F.pmod(F.xxhash64("row"), tiles).cast("int"), "tiles": tiles})
