@@ -25,7 +25,8 @@ that share a key are not paired with one another, but with one centre, and only
 for what is not connected after that the other pairs of the key are verified.
 In a large key this is done in rounds: a row meets at most one further centre of
 its tile pair in a round, and what the links found connect is left out of the next
-one. A last round takes all pairs that are left then.
+one. A last round takes all pairs that are left then. Keys that the same rows share,
+as near copies do, are taken once.
 Hence every pair that can link is either verified or already connected.
 
 Cases. Null text and text without words have the empty set, link with nothing
