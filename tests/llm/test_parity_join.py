@@ -105,6 +105,34 @@ def test_rows_meet_under_every_key_they_share(spark):
     assert sorted((lo, *sorted(rows)) for (_, lo), rows in groups.items()) == [(1, 1, 2), (1, 1, 2, 3), (2, 2, 3)]
 
 
+def passages(seed, groups, shared, own, copies):
+    """Documents of passages that many share: each has some of them and words of its own, with near copies."""
+    r = np.random.default_rng(seed)
+    common = [[f"p{g}x{k}" for k in range(shared)] for g in range(groups)]
+    data = []
+    for d in range(copies):
+        w = [x for g in r.permutation(groups)[:6] for x in common[g]] + [f"d{d}x{k}" for k in range(own)]
+        data += [(3 * d, " ".join(w)), (3 * d + 1, " ".join([*w, f"e{d}"]))]
+    return data
+
+
+def test_sample_of_frequent_blocks_grows_with_the_table(spark):
+    """A passage that 24 of 320 documents share is frequent, however few rows the least sample has."""
+    passage = " ".join(f"p{k}" for k in range(40))
+    data = [(d, " ".join(f"d{d}x{k}" for k in range(30)) + (" " + passage if d % 13 == 0 else "")) for d in range(320)]
+    found = op.frequent_blocks(spark.createDataFrame(data, "doc_id bigint, text string"), rows=16)
+    assert len(found) >= 30
+
+
+def test_small_and_large_keys_give_the_same_links(spark, monkeypatch):
+    data = passages(1, 8, 14, 24, 25) + [(500 + i, " ".join([*(f"c{k}" for k in range(100)), *["z"] * i])) for i in range(30)]
+    data += [(None, data[0][1] + " more"), (7, data[5][1]), (7, ""), (8, None)]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string").repartition(3)
+    monkeypatch.setattr(op, "SMALL_KEY", 3)
+    monkeypatch.setattr(op, "frequent_blocks", lambda docs: np.zeros(0, np.uint64))
+    assert got(op.jaccard_components(docs)) == brute(data)
+
+
 def test_links_at_the_limit(spark):
     """Pairs exactly at 0.8 and just below, at sizes around the bands' borders."""
     data, n = [], 0

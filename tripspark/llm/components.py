@@ -33,22 +33,27 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return least.union(joined.select("b", "m")).toDF("a", "b")
 
 
-def _written(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
-    """The distinct edges as a table, and their count and a hash of all of them."""
+def _stars(edges: DataFrame) -> bool:
+    """Whether each node has one smaller neighbour, which has none itself, or none."""
+    ends = edges.select(F.col("a").alias("u"), F.lit(1).alias("up")).union(edges.select("b", F.lit(0)))
+    seen = ends.groupBy("u").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    return seen.filter("ups > 1 OR ups = 1 AND least = 0").isEmpty()
+
+
+def component_stars(edges: DataFrame) -> DataFrame:
+    """(a, b) of every node a in ``edges`` (a, b: bigint) that can reach a smaller one, b being the
+    smallest. A table; repeats are fine, loops count for nothing."""
+    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b")
     edges = materialize(edges.distinct(), "cc-edges")
-    r = edges.agg(F.count(F.lit(1)), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0))).first()
-    return edges, (int(r[0]), int(r[1]))
+    while not _stars(edges):
+        wide = materialize(_large_star(edges), "cc-wide")  # as many rows as edges
+        edges = materialize(_small_star(wide).distinct(), "cc-edges")
+    return edges
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node in ``edges`` (a, b: bigint); component is
     the smallest node that can be reached. Repeats are fine; loops count for nothing."""
-    edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b")
-    edges, state = _written(edges)
-    before = None
-    while state[0] and state != before:
-        before = state
-        wide = materialize(_large_star(edges).distinct(), "cc-wide")
-        edges, state = _written(_small_star(wide))
+    edges = component_stars(edges)
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         edges.select("b", "b").distinct())

@@ -19,7 +19,7 @@ non-empty (by over nine standard deviations). Smaller sets use 2^20 blocks.
 
 Skew. Equal sets share one node from the start: each task emits the keys of a
 set once, and tasks' repeats merge before verification. The order of blocks
-puts those that are frequent in a bounded sample of documents last; the order
+puts those that are frequent in a sample of documents last; the order
 never changes the result, but keeps shared passages out of the keys. Documents
 that share a key are not paired with one another, but with one centre, and only
 for what is not connected after that the other pairs of the key are verified.
@@ -46,14 +46,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripspark.llm.common import byte_view, counted_broadcast, materialize, mix64, python_stages, text_bytes, tidy
-from tripspark.llm.components import connected_components
+from tripspark.llm.components import component_stars
 from tripspark.llm.shingles import shingle_sets
 
-#: Documents in the sample that finds frequent blocks, and the share of them
-#: in which a block must occur to be put last. At most
-#: SAMPLE_ROWS * blocks a document / (SAMPLE_ROWS * FREQUENT) keys are frequent.
-SAMPLE_ROWS = 16_000
-FREQUENT = 0.00025
+#: Least documents of the sample that finds frequent blocks, the share of larger tables that is
+#: taken, and the documents of the sample in which a block must occur to be put last. The sample grows
+#: with the table, so that the keys left have few rows whatever its size.
+SAMPLE_ROWS, SAMPLE_SHARE, FREQUENT = 16_000, 4, 4
 #: Frequent keys that the driver and the tasks get, the most frequent ones. Any choice gives the same links.
 FREQUENT_KEYS = 1_000_000
 
@@ -174,12 +173,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, sizes of both, x, y) whose sketches x and y don't rule out a similarity of 0.8."""
+    """Of pairs (a, b, sizes of both, x, y, ids of both) those whose sketches x and y don't rule out a similarity of 0.8."""
     for batch in batches:
         sizes = batch.column(2).to_pylist()
         x, y = batch.column(3).to_pylist(), batch.column(4).to_pylist()
         keep = [9 * hamming(u, v) <= n for n, u, v in zip(sizes, x, y, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        yield batch.select([0, 1, 5, 6]).filter(pa.array(keep, pa.bool_()))
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,12 +194,17 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def frequent_blocks(docs: DataFrame, rows: int = SAMPLE_ROWS, share: float = FREQUENT) -> np.ndarray:
-    """Sorted keys of blocks that are frequent in a bounded sample of documents."""
-    ids = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    sample = docs.select("doc_id", text_bytes(F.col("text")).alias("t")).join(F.broadcast(ids.distinct()), "doc_id")
-    keys = sample.select("t").mapInArrow(tidy(_sample_keys), "key bigint").groupBy("key").count()
-    found = keys.filter(F.col("count") >= max(4, int(rows * share))).orderBy(F.desc("count"), "key").limit(FREQUENT_KEYS)
+def frequent_blocks(docs: DataFrame, rows: int = SAMPLE_ROWS) -> np.ndarray:
+    """Sorted keys of blocks that are frequent in a sample: ``rows`` documents, in larger tables one of SAMPLE_SHARE."""
+    ids = docs.select("doc_id")
+    if ids.limit(SAMPLE_SHARE * rows + 1).count() <= SAMPLE_SHARE * rows:
+        ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+        picked = docs.join(F.broadcast(ids.distinct()), "doc_id")
+    else:
+        picked = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_SHARE)) == 0)
+    sample = picked.select(text_bytes(F.col("text")).alias("t"))
+    keys = sample.mapInArrow(tidy(_sample_keys), "key bigint").groupBy("key").count()
+    found = keys.filter(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "key").limit(FREQUENT_KEYS)
     found = found.select("key").toArrow().column(0)
     return np.sort(found.to_numpy().view(np.uint64))
 
@@ -231,22 +235,20 @@ def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     # Equal sets in different tasks are one node, so nodes carry the links.
     links = _verified(bytes_, used, met.filter("row <> lo").select(F.col("lo").alias("a"), F.col("row").alias("b")))
-    component = materialize(connected_components(links), "jaccard-components")
+    component = _stars_of(links)
+    apart = materialize(_apart(met, _components_of(used, component)), "jaccard-apart")
+    small, large = apart.filter(F.col("members") <= SMALL_KEY), apart.filter(F.col("members") > SMALL_KEY)
+    pairs = materialize(_remaining(small, used, None, split=False), "jaccard-tried")
+    component, linked = _joined(bytes_, used, component, pairs)
+    if linked:
+        large = materialize(_apart(large, _components_of(used, component)), "jaccard-large")
     attempt: int | None = 0
-    while True:
-        # Components only grow, so keys that are within one stay out of later attempts.
-        of = used.join(component, "node", "left").select(
-            "row", F.coalesce("component", "node").alias("comp"), F.col("n_shingles").alias("n"), "sketch")
-        met = materialize(_apart(met, of, attempt), "jaccard-apart")
-        pairs = materialize(_remaining(met, of, attempt), "jaccard-tried")
-        if pairs.isEmpty():
-            break
-        more = _verified(bytes_, used, pairs)
-        linked = not more.isEmpty()
-        if linked:
-            component = materialize(connected_components(component.toDF("a", "b").union(more)), "jaccard-components")
-        if attempt is None:
+    while not large.isEmpty():
+        component, linked = _joined(bytes_, used, component, materialize(_remaining(large, used, attempt), "jaccard-tried"))
+        if attempt is None or linked is None:
             break
+        # Components only grow, so keys that are within one stay out of later attempts.
+        large = materialize(_apart(large, _components_of(used, component)), "jaccard-large")
         # Without a link, another round would only try the same rows one by one.
         attempt = attempt + 1 if linked and attempt + 1 < ROUNDS else None
     least = (signed.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
@@ -270,48 +272,71 @@ def _meetings(keys: DataFrame) -> DataFrame:
 def _verified(texts: DataFrame, used: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links (a, b) between nodes among pairs (a, b) of rows: sizes are compared, then
     sketches, then the sets of what is left."""
-    side = used.select("row", "node", "n_shingles", "sketch")
-    pairs = (pairs.distinct().join(side.toDF("a", "na", "sa", "xa"), "a").join(side.toDF("b", "nb", "sb", "xb"), "b")
+    side = used.select("row", "node", "n_shingles", "sketch", "doc_id")
+    id_type = used.schema["doc_id"].dataType.simpleString()
+    pairs = (pairs.distinct().join(side.toDF("a", "na", "sa", "xa", "ia"), "a").join(side.toDF("b", "nb", "sb", "xb", "ib"), "b")
              .filter("na <> nb AND 5 * least(sa, sb) >= 4 * greatest(sa, sb)")
-             .select("na", "nb", (F.col("sa") + F.col("sb")).alias("n"), "xa", "xb")
-             .mapInArrow(tidy(_may_link), "a bigint, b bigint"))
-    pairs = materialize(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
-                        "jaccard-pairs")
+             .select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"), (F.col("sa") + F.col("sb")).alias("n"),
+                     "xa", "xb", F.expr("if(na < nb, ia, ib)").alias("ia"), F.expr("if(na < nb, ib, ia)").alias("ib"))
+             .mapInArrow(tidy(_may_link), f"a bigint, b bigint, ia {id_type}, ib {id_type}"))
+    pairs = materialize(pairs.groupBy("a", "b").agg(F.min("ia").alias("ia"), F.min("ib").alias("ib")), "jaccard-pairs")
     if pairs.isEmpty():
-        return pairs
-    nodes = materialize(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "jaccard-nodes")
-    ids = used.join(counted_broadcast(nodes), "node").groupBy("node").agg(F.min("doc_id").alias("used_id"))
-    ids = counted_broadcast(materialize(ids.select("used_id"), "jaccard-ids"))
+        return pairs.select("a", "b")
+    nodes = pairs.select(F.col("a").alias("node"), F.col("ia").alias("used_id")).union(pairs.select("b", "ib"))
+    nodes = materialize(nodes.groupBy("node").agg(F.min("used_id").alias("used_id")), "jaccard-nodes")
+    ids = counted_broadcast(nodes.select("used_id"))
+    nodes = counted_broadcast(nodes.select("node"))
     rows = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("used_id")), "left_semi")
     items = rows.select("t").mapInArrow(tidy(_sets), "node bigint, items array<bigint>")
-    items = materialize(items.join(counted_broadcast(nodes), "node", "left_semi"), "jaccard-sets")
-    full = pairs.join(items.toDF("a", "x"), "a").join(items.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    items = materialize(items.join(nodes, "node", "left_semi"), "jaccard-sets")
+    full = pairs.select("a", "b").join(items.toDF("a", "x"), "a").join(items.toDF("b", "y"), "b").select("a", "b", "x", "y")
     return materialize(full.mapInArrow(tidy(_verify), "a bigint, b bigint"), "jaccard-links")
 
 
-def _apart(met: DataFrame, of: DataFrame, attempt: int | None) -> DataFrame:
+def _joined(texts: DataFrame, used: DataFrame, component: DataFrame, pairs: DataFrame) -> tuple[DataFrame, bool | None]:
+    """(components with the links among pairs of rows, whether there are links); None if there are no pairs."""
+    if pairs.isEmpty():
+        return component, None
+    more = _verified(texts, used, pairs)
+    if more.isEmpty():
+        return component, False
+    return _stars_of(component.toDF("a", "b").union(more)), True
+
+
+def _stars_of(links: DataFrame) -> DataFrame:
+    """(node, component) of nodes with links; the smallest node of a component may be left out."""
+    return component_stars(links).toDF("node", "component")
+
+
+def _components_of(used: DataFrame, component: DataFrame) -> DataFrame:
+    """(row, n, comp) of each row that shares a key."""
+    return used.join(component, "node", "left").select("row", F.coalesce("component", "node").alias("comp"),
+                                                       F.col("n_shingles").alias("n"))
+
+
+def _apart(met: DataFrame, of: DataFrame) -> DataFrame:
     """Rows (key, row, n, comp, members) of the keys whose rows are in different components
-    so far, ``of`` giving each row's; after the first attempt only those of large keys."""
+    so far, ``of`` giving each row's."""
     share = Window.partitionBy("key")
-    rows = met.select("key", "row").join(of.drop("sketch"), "row").withColumns({
+    rows = met.select("key", "row").join(of, "row").withColumns({
         "c1": F.min("comp").over(share), "c2": F.max("comp").over(share), "members": F.count(F.lit(1)).over(share)})
-    if attempt != 0:  # small keys are done
-        rows = rows.filter(F.col("members") > SMALL_KEY)
     return rows.filter("c1 <> c2").select("key", "row", "n", "comp", "members")
 
 
-def _remaining(rows: DataFrame, of: DataFrame, attempt: int | None) -> DataFrame:
+def _remaining(rows: DataFrame, used: DataFrame, attempt: int | None, split: bool = True) -> DataFrame:
     """Pairs of rows that share a key, are in different components so far, and may be
     similar by their sizes and short sketches. Rows of a key are compared in tiles; the
-    tiles of a large key go to different tasks.
-
-    The first attempt gives all such pairs of small keys. Of large ones an attempt
-    gives at most one pair for each row of a tile pair (none only if none is left), and
-    ``None`` all of them."""
-    tiles = F.ceil(F.col("members") / TILE).cast("int")
-    dealt = (rows.join(of.select("row", "sketch"), "row")
-             .withColumns({"tile": F.pmod(F.xxhash64("row"), tiles).cast("int"), "tiles": tiles})
-             .select("key", "row", "n", "comp", "sketch", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other")))
+    tiles of a large key go to different tasks. Without ``split`` a key is one tile.
+
+    An attempt gives all such pairs of small keys. Of large ones it gives at most one pair
+    for each row of a tile pair (none only if none is left), and ``None`` all of them."""
+    dealt = rows.join(used.select("row", "sketch"), "row")
+    if split:
+        tiles = F.ceil(F.col("members") / TILE).cast("int")
+        dealt = (dealt.withColumns({"tile": F.pmod(F.xxhash64("row"), tiles).cast("int"), "tiles": tiles})
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))))
+    else:
+        dealt = dealt.withColumns({"tile": F.lit(0), "other": F.lit(0)})
     dealt = dealt.select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "n", "tile", "row",
                          "comp", "sketch")
     return (dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n")
@@ -322,7 +347,7 @@ def _remaining(rows: DataFrame, of: DataFrame, attempt: int | None) -> DataFrame
 TILE, TILE_WORDS = 2048, 64
 #: Rows up to which all pairs of a key are taken at once, and rounds in which the rows of
 #: larger keys meet one centre. Neither changes the links.
-SMALL_KEY, ROUNDS = 32, 4
+SMALL_KEY, ROUNDS = 32, 2
 
 
 def _short(sketch: bytes) -> np.ndarray:
